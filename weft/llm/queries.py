@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import packing, tokens, topn
+from weft.llm import lookalike, packing, tokens, topn
 from weft.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,20 @@ def p2_ranked(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("query_rid", "target_entity_id", "score", F.col("rank_in_group").cast("long").alias("rank_in_group"))
 
 
+def _plain_forms(spark: SparkSession, folder: str) -> DataFrame:
+    names = (table(spark, folder, "train_source1"), "business_name", "train_source1")
+    addresses = (table(spark, folder, "train_source2"), "business_address", "train_source2")
+    return lookalike.plain_forms([names, addresses])
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _plain_forms(spark, folder).where("not looks_typed").select("entity_id").distinct()
+
+
+def p4_forms(spark: SparkSession, folder: str) -> DataFrame:
+    return _plain_forms(spark, folder).select("source", "entity_id", "plain_form").distinct()
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, folder, "documents"))
 
@@ -36,7 +50,7 @@ def p9_variable_lengths(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_ranked, p8_ids, p9_containers, p9_variable_lengths)}
+    return {f.__name__: f for f in (p2_found, p2_ranked, p4_found, p4_forms, p8_ids, p9_containers, p9_variable_lengths)}
 
 
 BEST = """
