@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import lookalike, packing, tokens, topn
+from weft.llm import lookalike, mojibake, packing, tokens, topn
 from weft.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,8 +49,16 @@ def p9_variable_lengths(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), lengths=(256, 512, 1024))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return mojibake.find_garbled(table(spark, folder, "documents")).select("doc_id").distinct()
+
+
+def p10_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return mojibake.find_garbled(table(spark, folder, "documents")).select("doc_id", "repaired", "restored")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_ranked, p4_found, p4_forms, p8_ids, p9_containers, p9_variable_lengths)}
+    return {f.__name__: f for f in (p2_found, p2_ranked, p4_found, p4_forms, p8_ids, p9_containers, p9_variable_lengths, p10_found, p10_repaired)}
 
 
 BEST = """
