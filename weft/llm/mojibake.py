@@ -145,18 +145,20 @@ def edges(text: str, a: int, b: int) -> tuple[str, str]:
 def surroundings(before: str, run: str, after: str) -> Iterator[tuple[str, str]]:
     """Each non-ASCII character of a stretch, letters in lower case, with the kinds of its neighbours; an ASCII one with ''.
 
-    A letter's neighbours are l if they are letters of its own case and u if of the other, so that text in capitals is as likely as
+    A neighbour that is the same character is r. A letter's neighbours are l if they are letters of its own case and u if of the other, so that text in capitals is as likely as
     other text.
     """
     kinds = [before, *map(kind, run), after]
     for i, c in enumerate(run):
+        left = "r" if i and run[i - 1] == c else kinds[i]
+        right = "r" if run[i + 1 : i + 2] == c else kinds[i + 2]
         if c < "\x80":
             yield c, ""
         elif kinds[i + 1] == "u":
             low = c.lower()
-            yield low if len(low) == 1 else c, kinds[i].translate(SWAP) + kinds[i + 2].translate(SWAP)
+            yield low if len(low) == 1 else c, left.translate(SWAP) + right.translate(SWAP)
         else:
-            yield c, kinds[i] + kinds[i + 2]
+            yield c, left + right
 
 
 def sort_of(text: str) -> str:
@@ -300,7 +302,7 @@ def _count(frames: Iterator[pd.DataFrame], model: Model | None) -> Iterator[pd.D
 
 
 def train(documents: DataFrame, text: str = "text", rounds: int = 3, first: tuple[float, ...] = (-3.0, -1.0, -3.0), last: tuple[float, ...] = (-6.0, -2.0, -3.0)) -> Model:
-    """Fit the emissions on all documents. The counts that reach the driver have at most 72 rows for each code point of Unicode.
+    """Fit the emissions on all documents. The counts that reach the driver have at most 98 rows for each code point of Unicode.
 
     rounds: labelings of the corpus from which clean text is counted anew. first, last: enter, leave and unsure of the model while
     counts still hold garbled text, and at the end. An empty table gives a model that finds everything clean.
