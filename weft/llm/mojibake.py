@@ -182,15 +182,16 @@ class Model:
     unsure: float
     memory: dict = field(default_factory=dict, repr=False)
     alone: dict = field(default_factory=dict, repr=False)
+    anywhere: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
         if not self.alone:
-            for (sort, c, _), n in self.counts.items():
+            for (sort, c, around), n in self.counts.items():
                 self.alone[sort, c] = self.alone.get((sort, c), 0) + n
-                self.alone["", c] = self.alone.get(("", c), 0) + n
+                self.anywhere[c, around] = self.anywhere.get((c, around), 0) + n
 
     def __getstate__(self) -> dict:
-        return {"counts": self.counts, "totals": self.totals, "enter": self.enter, "leave": self.leave, "unsure": self.unsure, "memory": {}, "alone": {}}
+        return {"counts": self.counts, "totals": self.totals, "enter": self.enter, "leave": self.leave, "unsure": self.unsure, "memory": {}, "alone": {}, "anywhere": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -205,7 +206,9 @@ class Model:
             elif c == "�":
                 whole += MISFIT * 2
             else:
-                n = self.counts.get((sort, c, around), 0) + 0.1 * self.alone.get((sort, c), 0) / 36 + 0.005 * self.alone.get(("", c), 0) / 6
+                # a neighbourhood that a frequent character never had tells against it, so it counts as half a character at most
+                unseen = min(0.5, 0.1 * self.alone.get((sort, c), 0) / 36)
+                n = self.counts.get((sort, c, around), 0) + unseen + 0.01 * self.anywhere.get((c, around), 0)
                 whole += math.log((n + 0.01) / (self.totals.get(sort, 0) + 1))
         return whole
 
