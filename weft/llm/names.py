@@ -17,7 +17,7 @@ LEGAL = frozenset(
 )
 #: Words that say what a firm does or is, not which one it is.
 TRADE = frozenset(
-    "tec const cons inds elect bakery bakers textiles catering caterers upholstery cold storage stationery stationers international intl construction constructions constr builders insurance ins "
+    "tec const cons inds ind log eng engg engrg elect uphol bakery bakers textiles catering caterers upholstery cold storage stationery stationers international intl construction constructions constr builders insurance ins "
     "brokers travel travels agency agencies garments technologies technology tech engineering engineers industries industry foods food dental clinic dentist logistics "
     "landscaping associates assoc assocs book books depot hardware distributors distribution tea house furniture furnitures photography photo automobiles autos auto "
     "ceramics roofing steel works packaging opticians optical veterinary vet hospital nursery nurseries electricals electrical elec music store stores exports exporters printing printers "
@@ -25,18 +25,18 @@ TRADE = frozenset(
     "jewelers jewellery jewelry security systems laboratories laboratory labs lab machine tools".split()
 )
 #: Words that carry nothing.
-FILLER = frozenset("and the of und et e y ms head office branch messrs".split())
+FILLER = frozenset("and n the of und et e y ms head office branch messrs".split())
 #: Short and pet forms of given names, each after its full form.
 PET_FORMS = (
-    "benjamin ben benny benji|barbara barb babs barbie|charles chuck charlie chas|stephen steven steve|robert rob bob bobby robbie bert|william bill billy will willy|"
+    "benjamin ben benny benji|barbara barb babs barbie|charles chuck charlie chas|stephen steven steve|robert rob bob bobby robbie bert|william bill billy will willy wm|"
     "richard rick dick rich richie ricky|elizabeth liz beth betty eliza lizzie betsy|katherine kate kathy katie catherine cathy kathryn|james jim jimmy jamie|theodore ted theo teddy|"
-    "edward ed eddie ned ted|margaret maggie meg peggy marge|patricia pat patty trish tricia|michael mike mick mickey|joseph joe joey|thomas tom tommy|samuel sam sammy|"
+    "edward ed eddie ned ted|margaret maggie meg peggy marge|patricia pat patty trish tricia|michael mike mick mickey|joseph joe joey jos|thomas tom tommy thos|samuel sam sammy|"
     "alexander alex sandy alec|andrew andy drew|anthony tony|christopher chris kit topher|daniel dan danny|deborah deb debra debbie|dorothy dot dottie dolly|"
     "frederick fred freddie freddy|geoffrey geoff jeff jeffrey|gregory greg|jennifer jen jenny|lawrence larry laurie laurence|leonard len lenny leo|penelope penny|philip phil pip phillip|"
     "raymond ray|rebecca becky becca|susan sue susie suzy|timothy tim timmy|victoria vicky tori vic|abigail abby gail|nicholas nick nicky|nightingale|krishna|matthew matt|jonathan jon|gabriel gabe"
 )
 _SHAPES = str.maketrans({pair[0]: pair[1].lower() for pair in SAME_SHAPE})
-_DOTTED = re.compile(r"\b(?:[a-z]\.){2,}[a-z]?\b|\b(?:[a-z]\. ){2,}")
+_DOTTED = re.compile(r"\b[a-z](?:[./][a-z])+\b\.?")
 _ALIAS = re.compile(r"\s*\(?\b(?:trading as|t/a|also known as|a/k/a|aka)\b.*")
 _DBA = re.compile(r".*\b(?:dba|d/b/a|doing business as)\b")
 _EDGE = re.compile(r"^\s*(?:m/s\.?|the|messrs\.?)\s+|\s+-\s+(?:head office|branch|h\.?o\.?)\s*$")
@@ -75,7 +75,7 @@ def _is_trade(token: str) -> bool:
 
 @dataclass(frozen=True, slots=True)
 class Name:
-    """core: words that tell the organisation apart; trade: what it does; initials: of all words; legal forms are left out."""
+    """core: words that tell the organisation apart, of a reference the most telling one first; trade: what it does; initials: of all words; legal forms are left out."""
 
     core: tuple[str, ...]
     trade: tuple[str, ...]
@@ -98,7 +98,7 @@ def parse(raw: str | None) -> Name:
         text = _DBA.sub("", text)
     text = _ALIAS.sub("", text)
     text = _EDGE.sub("", _EDGE.sub("", text))
-    text = _DOTTED.sub(lambda m: m.group().replace(".", "").replace(" ", "") + " ", text)
+    text = _DOTTED.sub(lambda m: m.group().replace(".", "").replace("/", "") + " ", text.replace("'", "").replace("’", ""))
     tokens = [t for t in _TOKEN.findall(text) if t not in FILLER]
     kept = [t for t in tokens if t not in LEGAL]
     core, trade = [], []
@@ -123,14 +123,14 @@ def lcs(a: str, b: str) -> int:
 
 @lru_cache(maxsize=400_000)
 def alike(a: str, b: str) -> float:
-    """The longest-common-subsequence ratio of two words by sound: twice the common length over both lengths."""
+    """The longest-common-subsequence ratio of two words, by sound or by letters: twice the common length over both lengths."""
     if a == b:
         return 1.0
     x, y = sound(a), sound(b)
     if x == y:
         return 1.0
-    common = lcs(x, y)
-    return 2 * common / (len(x) + len(y))
+    ratio = 2 * lcs(x, y) / (len(x) + len(y))
+    return ratio if ratio >= 0.9 else max(ratio, 2 * lcs(a, b) / (len(a) + len(b)))
 
 
 def same_given(a: str, b: str) -> bool:
@@ -138,6 +138,10 @@ def same_given(a: str, b: str) -> bool:
     return _PETS.get(x, x) == _PETS.get(y, y)
 
 
+#: What an initial counts for.
+INITIAL = 0.65
+
+
 def word_score(full: str, typed: str) -> float:
     """How well a typed word stands for a full one: by likeness, pet form or abbreviation; an initial counts little."""
     if full == typed:
@@ -153,7 +157,7 @@ def word_score(full: str, typed: str) -> float:
             # a truncated word with a slip in it
             score = max(score, 0.9 * alike(full[: len(typed)], typed) if len(typed) + 2 < len(full) else 0.0)
     if len(typed) == 1 and full[:1] == typed:
-        return 0.6
+        return INITIAL
     return score
 
 
@@ -168,63 +172,47 @@ def _options(core: tuple[str, ...]) -> Iterator[tuple[str, int, int]]:
 
 
 def compare(reference: Name, typed: Name) -> tuple[float, float, float, float]:
-    """(main, second, trade, left): how well the reference's longer-telling word, its other words and its trade are found in the typed name.
+    """(main, second, trade, left): how well the reference's telling word (the first of its core), its other words and its trade are found.
 
     second is -1 where the typed name has no word left for the others, trade -1 where one has no trade; left is the part of the typed
-    core's letters that stands for nothing of the reference. main is the score of the reference word that is matched best among those
-    of seven letters or more (or the longest).
+    core's letters that stands for nothing of the reference.
     """
     if not reference.core or not typed.core:
         return 0.0, -1.0, -1.0, 1.0
-    best = (0.0, -1.0, 1.0)
-    longest = max(len(w) for w in reference.core)
-    for i, word in enumerate(reference.core):
-        if len(word) < min(6, longest):
-            continue
-        rest = reference.core[:i] + reference.core[i + 1 :]
-        for option, a, b in _options(typed.core):
-            if len(option) < 4:
-                continue
-            extra = ""
-            score = word_score(word, option)
-            if score < 0.9 and len(option) > len(word) + 2:
-                # two words written as one
-                for r in rest:
-                    for joined in (word + r, r + word):
-                        joint = alike(joined, option)
-                        if joint > max(score, 0.85):
-                            score, extra = joint, r
-                for head, tail in ((option[: len(word)], option[len(word) :]), (option[-len(word) :], option[: -len(word)])):
-                    if not extra and rest and alike(word, head) >= 0.9 and word_score(rest[0], tail) >= 0.8:
-                        score, extra = alike(word, head), rest[0]
-            if score < 0.6:
-                continue
-            others = list(typed.core[:a] + typed.core[b + 1 :])
-            found, seconds = [], []
-            for r in rest:
-                if r == extra:
-                    seconds.append(1.0)
-                    continue
-                if not others:
-                    continue
-                choice = max(_options(tuple(others)), key=lambda o: word_score(r, o[0]))
-                value = word_score(r, choice[0])
-                if value >= 0.55:
-                    seconds.append(value)
-                    found += others[choice[1] : choice[2] + 1]
-                    del others[choice[1] : choice[2] + 1]
-                else:
-                    seconds.append(value)
-            second = sum(seconds) / len(seconds) if seconds else -1.0
-            unused = sum(map(len, others)) / max(1, sum(map(len, typed.core)))
-            candidate = (score, second, unused)
-            if (candidate[0] + max(0.35, candidate[1]) - candidate[2], candidate[0]) > (best[0] + max(0.35, best[1]) - best[2], best[0]):
-                best = candidate
+    word, rest = reference.core[0], reference.core[1:]
+    main, taken, spare = 0.0, (0, -1), ""
+    for option, a, b in _options(typed.core):
+        score, tail = word_score(word, option) if len(option) > 2 or option == word else 0.0, ""
+        if score < 0.9 and rest and len(option) > len(word) + 2:
+            # two words written as one
+            for cut in (len(word), len(word) - 1, len(word) + 1):
+                for head, other in ((option[:cut], option[cut:]), (option[-cut:], option[:-cut])):
+                    joint = min(alike(word, head), max(word_score(r, other) for r in rest))
+                    if joint >= 0.8 and joint > score:
+                        score, tail = joint, other
+        if score > main:
+            main, taken, spare = score, (a, b), tail
+            if score == 1.0 and a == b:
+                break
+    if main < 0.5:
+        return main, -1.0, -1.0, 1.0
+    others = [*([spare] if spare else []), *typed.core[: taken[0]], *typed.core[taken[1] + 1 :]]
+    seconds = []
+    whole = max(1, sum(map(len, typed.core)))
+    for r in rest:
+        if not others:
+            break
+        choice = max(_options(tuple(others)), key=lambda o: word_score(r, o[0]))
+        value = word_score(r, choice[0])
+        seconds.append(value)
+        if value >= 0.55:
+            del others[choice[1] : choice[2] + 1]
+    second = sum(seconds) / len(seconds) if seconds else -1.0
     trade = -1.0
     if reference.trade and typed.trade:
-        hits = [max(1.0 if t == r else 0.9 if r.startswith(t[:4]) or t.startswith(r[:4]) or same_stem(r, t) else alike(r, t) for t in typed.trade) for r in reference.trade]
+        hits = [max(1.0 if t == r else 0.9 if same_stem(r, t) else alike(r, t) for t in typed.trade) for r in reference.trade]
         trade = max(hits) if len(typed.trade) < len(reference.trade) else sum(hits) / len(hits)
-    return best[0], best[1], trade, best[2]
+    return main, second, trade, sum(map(len, others)) / whole
 
 
 def same_stem(a: str, b: str) -> bool:
@@ -237,3 +225,59 @@ def is_acronym(reference: Name, typed: Name) -> bool:
         return False
     letters = typed.core[0]
     return 2 <= len(letters) <= 5 and (reference.initials == letters or (len(letters) >= 3 and reference.initials.startswith(letters)) or ("".join(w[0] for w in reference.core) == letters and bool(typed.trade)))
+
+
+def matches(scores: tuple[float, float, float, float]) -> bool:
+    """Whether the scores of `compare` tell one organisation: its telling word, and the other word unless it is missing."""
+    main, second, trade, left = scores
+    if second < 0:
+        return main >= 0.9 and left <= 0.25 and (trade < 0 or trade >= 0.5)
+    if second >= 0.75:
+        return left <= 0.45 and (main >= 0.9 or (main >= 0.82 and (trade < 0 or trade >= 0.5)) or (main >= 0.8 and trade >= 0.9))
+    return left <= 0.3 and (trade < 0 or trade >= 0.5) and ((second == INITIAL and main >= 0.88) or (second >= 0.68 and main >= 0.92))
+
+
+def strength(scores: tuple[float, float, float, float]) -> float:
+    """One number by which the matches of one typed name are ranked."""
+    main, second, trade, left = scores
+    return main + max(second, 0.5) + 0.3 * max(trade, 0.5) - left
+
+
+def _keys(main: str, other: str) -> set[str]:
+    """Of two words by sound: parts of the telling one with the first letter or all of the other, and its letters in any order with all of it."""
+    return {f"p{main[:5]}|{other[:1]}", f"s{main[-7:]}|{other[:1]}", f"x{other}|{main[:4]}", f"y{other}|{main[-5:]}", f"z{other}|{''.join(sorted(main))}"}
+
+
+def _alone(main: str) -> set[str]:
+    """Of the telling word alone: how it begins and its suffix, in eight sounds each."""
+    return {f"p{main[:8]}", f"s{main[-8:]}"}
+
+
+def reference_keys(name: Name) -> set[str]:
+    """Keys of a reference name, whose telling word comes first. Suffixes that many words share are used only with another word's part."""
+    out: set[str] = set()
+    if name.core:
+        main = sound(name.core[0])
+        out |= _alone(main)
+        for other in name.core[1:]:
+            out |= _keys(main, sound(other))
+    return out
+
+
+def typed_keys(name: Name) -> set[str]:
+    """The same keys of a typed name, each of whose words, or two neighbouring ones written as one, may be the telling one.
+
+    Pet forms are sought under the full form too.
+    """
+    out: set[str] = set()
+    words = [(sound(w), {i}) for i, w in enumerate(name.core)]
+    words += [(sound(a + b), {i, i + 1}) for i, (a, b) in enumerate(zip(name.core, name.core[1:], strict=False))]
+    for main, used in words:
+        if len(main) < 3:
+            continue
+        out |= _alone(main)
+        for i, w in enumerate(name.core):
+            if i not in used:
+                o = sound(w)
+                out |= _keys(main, o) | (_keys(main, _PETS[o]) if o in _PETS else set())
+    return out

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import lookalike, mojibake, packing, tokens, topn
+from weft.llm import linkage, lookalike, mojibake, packing, tokens, topn
+from weft.operators.parsing import valid_source1, valid_source2
 from weft.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,22 @@ def p4_forms(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_forms(spark, folder).select("source", "entity_id", "plain_form").distinct()
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    source, typed = valid_source1(table(spark, folder, "train_source1")), valid_source2(table(spark, folder, "train_source2"))
+    pairs = linkage.link_addresses(source, typed).where("n_places = 1")
+    return pairs.select("source1_entity_id", F.col("typed_entity_id").alias("source2_entity_id")).distinct()
+
+
+def p5_levels(spark: SparkSession, folder: str) -> DataFrame:
+    source, typed = valid_source1(table(spark, folder, "train_source1")), valid_source2(table(spark, folder, "train_source2"))
+    return linkage.link_addresses(source, typed).withColumnRenamed("typed_entity_id", "source2_entity_id")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    source, typed = valid_source1(table(spark, folder, "train_source1")), table(spark, folder, "train_source3")
+    return linkage.link_names(source, typed).withColumnRenamed("typed_entity_id", "source3_entity_id")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, folder, "documents"))
 
@@ -58,7 +75,7 @@ def p10_repaired(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_ranked, p4_found, p4_forms, p8_ids, p9_containers, p9_variable_lengths, p10_found, p10_repaired)}
+    return {f.__name__: f for f in (p2_found, p2_ranked, p4_found, p4_forms, p5_found, p5_levels, p6_found, p8_ids, p9_containers, p9_variable_lengths, p10_found, p10_repaired)}
 
 
 BEST = """
