@@ -109,16 +109,24 @@ def parse(raw: str | None) -> Name:
     return Name(tuple(core), tuple(trade), "".join(t[0] for t in kept))
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, by bits."""
+@lru_cache(maxsize=100_000)
+def _places(a: str) -> dict[str, int]:
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
+    return where
+
+
+def lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence, by bits."""
+    find = _places(a).get
     row = full = (1 << len(a)) - 1
     for c in b:
-        hit = row & where.get(c, 0)
-        row = (row + hit | row - hit) & full
-    return len(a) - row.bit_count()
+        hit = find(c)
+        if hit:
+            hit &= row
+            row = row + hit | row - hit
+    return len(a) - (row & full).bit_count()
 
 
 @lru_cache(maxsize=400_000)
@@ -181,19 +189,28 @@ def compare(reference: Name, typed: Name) -> tuple[float, float, float, float]:
         return 0.0, -1.0, -1.0, 1.0
     word, rest = reference.core[0], reference.core[1:]
     main, taken, spare = 0.0, (0, -1), ""
-    for option, a, b in _options(typed.core):
-        score, tail = word_score(word, option) if len(option) > 2 or option == word else 0.0, ""
-        if score < 0.9 and rest and len(option) > len(word) + 2:
-            # two words written as one
-            for cut in (len(word), len(word) - 1, len(word) + 1):
-                for head, other in ((option[:cut], option[cut:]), (option[-cut:], option[:-cut])):
-                    joint = min(alike(word, head), max(word_score(r, other) for r in rest))
-                    if joint >= 0.8 and joint > score:
-                        score, tail = joint, other
-        if score > main:
-            main, taken, spare = score, (a, b), tail
-            if score == 1.0 and a == b:
-                break
+    if word in typed.core:
+        i = typed.core.index(word)
+        main, taken = 1.0, (i, i)
+    else:
+        size = len(word)
+        for option, a, b in _options(typed.core):
+            length = len(option)
+            if length < 3 or (b > a and abs(length - size) > 2):
+                continue
+            # beyond these lengths neither likeness nor truncation can count
+            score, tail = word_score(word, option) if 2 * min(size, length) >= 0.7 * (size + length) or length < size else 0.0, ""
+            if a == b and score < 0.9 and rest and length > size + 2 and option[0] in word[0] + "".join(r[0] for r in rest):
+                # two words written as one
+                for cut in (size, size - 1, size + 1):
+                    for head, other in ((option[:cut], option[cut:]), (option[-cut:], option[:-cut])):
+                        joint = alike(word, head)
+                        if joint >= 0.8 and joint > score and other:
+                            joint = min(joint, max(word_score(r, other) for r in rest))
+                            if joint >= 0.8 and joint > score:
+                                score, tail = joint, other
+            if score > main:
+                main, taken, spare = score, (a, b), tail
     if main < 0.5:
         return main, -1.0, -1.0, 1.0
     others = [*([spare] if spare else []), *typed.core[: taken[0]], *typed.core[taken[1] + 1 :]]
@@ -244,8 +261,10 @@ def strength(scores: tuple[float, float, float, float]) -> float:
 
 
 def _keys(main: str, other: str) -> set[str]:
-    """Of two words by sound: parts of the telling one with the first letter or all of the other, and its letters in any order with all of it."""
-    return {f"p{main[:5]}|{other[:1]}", f"s{main[-7:]}|{other[:1]}", f"x{other}|{main[:4]}", f"y{other}|{main[-5:]}", f"z{other}|{''.join(sorted(main))}"}
+    """Of two words by sound: parts of the telling one with the first letters or all of the other, and its letters in any order with all of it."""
+    if len(other) == 1:
+        return {f"i{main[:5]}|{other}", f"j{main[-7:]}|{other}"}
+    return {f"p{main[:5]}|{other[:2]}", f"s{main[-7:]}|{other[:2]}", f"x{other}|{main[:4]}", f"y{other}|{main[-5:]}", f"z{other}|{''.join(sorted(main))}"}
 
 
 def _alone(main: str) -> set[str]:
@@ -259,8 +278,8 @@ def reference_keys(name: Name) -> set[str]:
     if name.core:
         main = sound(name.core[0])
         out |= _alone(main)
-        for other in name.core[1:]:
-            out |= _keys(main, sound(other))
+        for other in map(sound, name.core[1:]):
+            out |= _keys(main, other) | _keys(main, other[:1])
     return out
 
 
