@@ -33,7 +33,7 @@ PET_FORMS = (
     "edward ed eddie ned ted|margaret maggie meg peggy marge|patricia pat patty trish tricia|michael mike mick mickey|joseph joe joey jos|thomas tom tommy thos|samuel sam sammy|"
     "alexander alex sandy alec|andrew andy drew|anthony tony|christopher chris kit topher|daniel dan danny|deborah deb debra debbie|dorothy dot dottie dolly|"
     "frederick fred freddie freddy|geoffrey geoff jeff jeffrey|gregory greg|jennifer jen jenny|lawrence larry laurie laurence|leonard len lenny leo|penelope penny|philip phil pip phillip|"
-    "raymond ray|rebecca becky becca|susan sue susie suzy|timothy tim timmy|victoria vicky tori vic|abigail abby gail|nicholas nick nicky|nightingale|krishna|matthew matt|jonathan jon|gabriel gabe"
+    "raymond ray|rebecca becky becca|susan sue susie suzy|timothy tim timmy|victoria vicky tori vic|abigail abby gail|nicholas nick nicky|matthew matt|jonathan jon|gabriel gabe"
 )
 _SHAPES = str.maketrans({pair[0]: pair[1].lower() for pair in SAME_SHAPE})
 _DOTTED = re.compile(r"\b[a-z](?:[./][a-z])+\b\.?")
@@ -61,10 +61,10 @@ def sound(word: str) -> str:
     return _DOUBLE.sub(r"\1", w[:1] + w[1:].replace("h", ""))
 
 
-_PETS: dict[str, str] = {}
+_PETS: dict[str, set[str]] = {}
 for _entry in PET_FORMS.split("|"):
     for _form in _entry.split():
-        _PETS.setdefault(sound(_form), sound(_entry.split()[0]))
+        _PETS.setdefault(sound(_form), set()).add(sound(_entry.split()[0]))
 #: Abbreviations of trade words; the one that is a word of its own is left out.
 _STEMS = {t[:n] for t in TRADE if len(t) > 4 for n in range(4, len(t))} - {"engine"}
 
@@ -75,20 +75,23 @@ def _is_trade(token: str) -> bool:
 
 @dataclass(frozen=True, slots=True)
 class Name:
-    """core: words that tell the organisation apart, of a reference the most telling one first; trade: what it does; initials: of all words; legal forms are left out."""
+    """core: words that tell the organisation apart, of a reference the most telling one first; trade: what it does; legal forms are left out.
+
+    head: the first word of a name of few words, if it is so short that it may stand for initials.
+    """
 
     core: tuple[str, ...]
     trade: tuple[str, ...]
-    initials: str
+    head: str
 
     def text(self) -> str:
         """The name as one string, from which `from_text` gives it back."""
-        return f"{' '.join(self.core)}|{' '.join(self.trade)}|{self.initials}"
+        return f"{' '.join(self.core)}|{' '.join(self.trade)}|{self.head}"
 
 
 def from_text(text: str) -> Name:
-    core, trade, initials = text.split("|")
-    return Name(tuple(core.split()), tuple(trade.split()), initials)
+    core, trade, head = text.split("|")
+    return Name(tuple(core.split()), tuple(trade.split()), head)
 
 
 def parse(raw: str | None) -> Name:
@@ -106,7 +109,8 @@ def parse(raw: str | None) -> Name:
         (trade if _is_trade(t) else core).append(t)
     if not core and trade and len(kept) > 0:
         core, trade = [], trade
-    return Name(tuple(core), tuple(trade), "".join(t[0] for t in kept))
+    head = tokens[0] if tokens and 2 <= len(tokens[0]) <= 5 and len(tokens) <= 4 and len(core) <= 1 else ""
+    return Name(tuple(core), tuple(trade), head)
 
 
 @lru_cache(maxsize=100_000)
@@ -142,8 +146,9 @@ def alike(a: str, b: str) -> float:
 
 
 def same_given(a: str, b: str) -> bool:
+    """Whether two words can be forms of one given name."""
     x, y = sound(a), sound(b)
-    return _PETS.get(x, x) == _PETS.get(y, y)
+    return x == y or not _PETS.get(x, {x}).isdisjoint(_PETS.get(y, {y}))
 
 
 #: What an initial counts for.
@@ -237,11 +242,10 @@ def same_stem(a: str, b: str) -> bool:
 
 
 def is_acronym(reference: Name, typed: Name) -> bool:
-    """Whether the typed name is the initials of the reference's words: of all, or of the core and the first of the trade."""
-    if len(typed.core) + len(typed.trade) > 2 or not typed.core or len(typed.core[0]) > 5:
-        return False
-    letters = typed.core[0]
-    return 2 <= len(letters) <= 5 and (reference.initials == letters or (len(letters) >= 3 and reference.initials.startswith(letters)) or ("".join(w[0] for w in reference.core) == letters and bool(typed.trade)))
+    """Whether the typed name's head is the initials of the reference's words, in any order, and its other words are of the reference's trade."""
+    initials = sorted(w[0] for w in reference.core + reference.trade)
+    others = [w for w in typed.core + typed.trade if w != typed.head]
+    return len(typed.head) >= 2 and len(initials) >= 2 and sorted(typed.head) == initials and all(w in reference.trade for w in others)
 
 
 def matches(scores: tuple[float, float, float, float]) -> bool:
@@ -264,7 +268,7 @@ def _keys(main: str, other: str) -> set[str]:
     """Of two words by sound: parts of the telling one with the first letters or all of the other, and its letters in any order with all of it."""
     if len(other) == 1:
         return {f"i{main[:5]}|{other}", f"j{main[-7:]}|{other}"}
-    return {f"p{main[:5]}|{other[:2]}", f"s{main[-7:]}|{other[:2]}", f"x{other}|{main[:4]}", f"y{other}|{main[-5:]}", f"z{other}|{''.join(sorted(main))}"}
+    return {f"p{main[:5]}|{other[:2]}", f"s{main[-7:]}|{other[:2]}", f"x{other}|{main[:4]}", f"y{other}|{main[-5:]}", f"z{other}|{''.join(sorted(main))}", f"w{other}|{main[:3]}{main[-3:]}"}
 
 
 def _alone(main: str) -> set[str]:
@@ -298,5 +302,5 @@ def typed_keys(name: Name) -> set[str]:
         for i, w in enumerate(name.core):
             if i not in used:
                 o = sound(w)
-                out |= _keys(main, o) | (_keys(main, _PETS[o]) if o in _PETS else set())
+                out |= _keys(main, o).union(*(_keys(main, full) for full in _PETS.get(o, ())))
     return out

@@ -7,13 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import linkage, lookalike, mojibake, packing, tokens, topn
+from weft.llm import linkage, lookalike, matching, mojibake, packing, tokens, topn
 from weft.operators.parsing import valid_source1, valid_source2
 from weft.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _matches(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["entity_id", "business_name", "business_address"]
+    source = valid_source1(table(spark, folder, "train_source1")).select(*columns)
+    targets = valid_source2(table(spark, folder, "train_source2")).select(*columns).unionByName(table(spark, folder, "train_source3").select(*columns))
+    return matching.match(source, targets)
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    labelled = table(spark, folder, "train_matches").select(F.trim("source1_entity_id").alias("entity_id"))
+    found = _matches(spark, folder).where("matched").join(labelled, "entity_id", "left_anti")
+    return found.select(F.col("entity_id").alias("source1_entity_id"), F.col("target_id").alias("target_entity_id")).distinct()
+
+
+def p1_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    return _matches(spark, folder).where("matched").select(F.col("entity_id").alias("source1_entity_id"), F.col("target_id").alias("target_entity_id"), "posterior").distinct()
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     best = topn.best_candidates(table(spark, folder, "candidate_pairs"), table(spark, folder, "test_predictions"))
     return best.select("query_rid", "target_entity_id")
@@ -75,7 +92,7 @@ def p10_repaired(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_ranked, p4_found, p4_forms, p5_found, p5_levels, p6_found, p8_ids, p9_containers, p9_variable_lengths, p10_found, p10_repaired)}
+    return {f.__name__: f for f in (p1_found, p1_confidence, p2_found, p2_ranked, p4_found, p4_forms, p5_found, p5_levels, p6_found, p8_ids, p9_containers, p9_variable_lengths, p10_found, p10_repaired)}
 
 
 BEST = """
