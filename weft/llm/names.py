@@ -264,43 +264,47 @@ def strength(scores: tuple[float, float, float, float]) -> float:
     return main + max(second, 0.5) + 0.3 * max(trade, 0.5) - left
 
 
-def _keys(main: str, other: str) -> set[str]:
-    """Of two words by sound: parts of the telling one with the first letters or all of the other, and its letters in any order with all of it."""
-    if len(other) == 1:
+def _pair_keys(main: str, other: str) -> set[str]:
+    """Keys of the telling word's sounds with the other word's beginning or end: for a slip late in it, early in it, or in its middle."""
+    if len(other) < 2:
         return {f"i{main[:5]}|{other}", f"j{main[-7:]}|{other}"}
-    return {f"p{main[:5]}|{other[:2]}", f"s{main[-7:]}|{other[:2]}", f"x{other}|{main[:4]}", f"y{other}|{main[-5:]}", f"z{other}|{''.join(sorted(main))}", f"w{other}|{main[:3]}{main[-3:]}"}
-
-
-def _alone(main: str) -> set[str]:
-    """Of the telling word alone: how it begins and its suffix, in eight sounds each."""
-    return {f"p{main[:8]}", f"s{main[-8:]}"}
+    o, end = other[:4], other[-3:]
+    return {"p" + "|".join(sorted((main[:4], o))), f"s{main[-6:]}|{o}", f"w{main[:3]}{main[-3:]}|{o}", f"r{main[-6:]}|{end}", f"v{main[:4]}|{end}"}
 
 
 def reference_keys(name: Name) -> set[str]:
-    """Keys of a reference name, whose telling word comes first. Suffixes that many words share are used only with another word's part."""
-    out: set[str] = set()
-    if name.core:
-        main = sound(name.core[0])
-        out |= _alone(main)
-        for other in map(sound, name.core[1:]):
-            out |= _keys(main, other) | _keys(main, other[:1])
+    """Keys of a reference name, whose telling word comes first: that word whole, how it begins, its suffix, and parts of it with another word.
+
+    Suffixes that many words share are used only with a part of another word; the long ones alone are for typed names of one word.
+    """
+    if not name.core:
+        return set()
+    main = sound(name.core[0])
+    out = {f"f{main}", f"h{main[:8]}", f"t{main[-8:]}"}
+    for other in map(sound, name.core[1:]):
+        out |= _pair_keys(main, other) | _pair_keys(main, other[:1])
     return out
 
 
 def typed_keys(name: Name) -> set[str]:
     """The same keys of a typed name, each of whose words, or two neighbouring ones written as one, may be the telling one.
 
-    Pet forms are sought under the full form too.
+    Pet forms are sought under the full forms too. A word alone is sought whole, and by its long parts if it is the only one.
     """
-    out: set[str] = set()
-    words = [(sound(w), {i}) for i, w in enumerate(name.core)]
-    words += [(sound(a + b), {i, i + 1}) for i, (a, b) in enumerate(zip(name.core, name.core[1:], strict=False))]
-    for main, used in words:
-        if len(main) < 3:
+    sounds = [sound(w) for w in name.core]
+    joined = [sound(a + b) for a, b in zip(name.core, name.core[1:], strict=False)]
+    out = {f"f{s}" for s in (*sounds, *joined) if len(s) >= 3}
+    if len(sounds) == 1:
+        out |= {f"h{sounds[0][:8]}", f"t{sounds[0][-8:]}"}
+    words = [(s, i, i) for i, s in enumerate(sounds)]
+    if len(sounds) > 2:
+        words += [(s, i, i + 1) for i, s in enumerate(joined)]
+    for main, first, last in words:
+        if len(main) < 4:
             continue
-        out |= _alone(main)
-        for i, w in enumerate(name.core):
-            if i not in used:
-                o = sound(w)
-                out |= _keys(main, o).union(*(_keys(main, full) for full in _PETS.get(o, ())))
+        for i, other in enumerate(sounds):
+            if not first <= i <= last:
+                out |= _pair_keys(main, other)
+                for full in _PETS.get(other, ()):
+                    out |= _pair_keys(main, full)
     return out

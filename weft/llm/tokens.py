@@ -154,8 +154,8 @@ def encoder(path: str = DEFAULT_VOCABULARY) -> Encoder:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The rows in twice as many even parts as there are cores, if the input has fewer (a few large files leave most cores idle)."""
-    parts = 2 * df.sparkSession.sparkContext.defaultParallelism
+    """The rows in as many even parts as there are cores, if the input has fewer (a few large files leave most cores idle)."""
+    parts = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
 
 
