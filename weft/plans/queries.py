@@ -1,15 +1,199 @@
-"""The queries of the core operators."""
+"""The queries of the core operators, over the tables of a folder."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weft.operators import parsing, skew
-from weft.session import table
+from weft.config import FEATURES, LinkConfig
+from weft.operators import blocking, evaluation, features, lists, model, parsing, records, signatures, skew, survival
+from weft.session import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
+CONFIG = LinkConfig()
+#: Fixed value: the threshold on the score without a model.
+SURE = 0.8
+
+
+def sources(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Normalised reference records, and normalised targets of both sources with target_source."""
+    queries = records.normalise_records(table(spark, folder, "train_source1"))
+    targets = [records.normalise_records(table(spark, folder, f"train_source{n}")).withColumn("target_source", F.lit(n)) for n in (2, 3)]
+    return queries, targets[0].unionByName(targets[1])
+
+
+def signed(targets: DataFrame, make: Callable[[DataFrame], DataFrame] = signatures.all_signatures) -> DataFrame:
+    """Signatures with target_source."""
+    parts = [make(targets.where(F.col("target_source") == n)).withColumn("target_source", F.lit(n)) for n in (2, 3)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _index(targets: DataFrame) -> DataFrame:
+    return blocking.weighted_index(signed(targets), targets, CONFIG)
+
+
+def _raw(queries: DataFrame, targets: DataFrame) -> DataFrame:
+    return blocking.raw_candidates(signatures.all_signatures(queries), _index(targets))
+
+
+def _candidates(queries: DataFrame, targets: DataFrame) -> DataFrame:
+    return blocking.final_candidates(blocking.rescored(blocking.shortlist(_raw(queries, targets), CONFIG), queries, targets), CONFIG)
+
+
+def _truth(spark: SparkSession, folder: str) -> DataFrame:
+    return features.truth_pairs(table(spark, folder, "train_matches"))
+
+
+def _labelled_queries(queries: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    return queries.join(table(spark, folder, "train_matches").select(F.col("source1_entity_id").alias("entity_id")), "entity_id", "left_semi")
+
+
+def _scored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Labelled queries, their candidates with the score without a model and a label, and their truth counts."""
+    queries, targets = sources(spark, folder)
+    queries = _labelled_queries(queries, spark, folder)
+    pairs = _truth(spark, folder)
+    scored = features.labelled(model.baseline_score(_candidates(queries, targets)), pairs).withColumn("probability", F.round("probability", 9))
+    return queries, cut(scored), evaluation.truth_counts(queries, pairs)
+
+
+def scan_normalize(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    both = queries.withColumn("target_source", F.lit(1)).unionByName(targets)
+    joined = {c: F.concat_ws(" ", F.array_sort(c)) for c in ("name_tokens", "address_tokens", "digit_tokens")}
+    return both.withColumns(joined).select("target_source", "entity_id", "country", "name_norm", "core_name", "address_norm", *joined)
+
+
+def normalize_documents(spark: SparkSession, folder: str) -> DataFrame:
+    from weft.functions.text import normalise
+
+    return table(spark, folder, "documents").select("doc_id", normalise(F.col("title")).alias("title_norm"))
+
+
+def truth_explode(spark: SparkSession, folder: str) -> DataFrame:
+    return _truth(spark, folder)
+
+
+def truth_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluation.truth_counts(sources(spark, folder)[0], _truth(spark, folder))
+
+
+def hash_split(spark: SparkSession, folder: str) -> DataFrame:
+    return features.split_queries(sources(spark, folder)[0].select("entity_id"), CONFIG.train_percent, CONFIG.validation_percent)
+
+
+def signature_exact(spark: SparkSession, folder: str) -> DataFrame:
+    return signatures.exact_signatures(sources(spark, folder)[0])
+
+
+def signature_shape(spark: SparkSession, folder: str) -> DataFrame:
+    return signatures.shape_signatures(sources(spark, folder)[0])
+
+
+def signature_pair(spark: SparkSession, folder: str) -> DataFrame:
+    return signatures.pair_signatures(sources(spark, folder)[0])
+
+
+def signature_df(spark: SparkSession, folder: str) -> DataFrame:
+    return blocking.document_frequencies(signed(sources(spark, folder)[1]))
+
+
+def signature_weights(spark: SparkSession, folder: str) -> DataFrame:
+    _, targets = sources(spark, folder)
+    return _index(targets).where("kind <> 'pe'")
+
+
+def candidate_raw(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    return _raw(queries, targets)
+
+
+def candidate_shortlist(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    return blocking.shortlist(_raw(queries, targets), CONFIG)
+
+
+def candidate_topk(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    made = _candidates(queries, targets)
+    return made.withColumns({c: F.round(c, 6) for c in ("name_jaro", "address_jaro", "block_score")})
+
+
+def candidate_bounded_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    index = blocking.weighted_index(signed(targets), targets, replace(CONFIG, max_pair_frequency=50))
+    return blocking.raw_candidates(signatures.all_signatures(queries), index)
+
+
+def pair_features(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    made = features.pair_features(_candidates(queries, targets), queries, targets)
+    return made.withColumns({c: F.round(c, 6) for c in FEATURES if not dict(made.dtypes)[c].startswith("int")})
+
+
+def pair_labels(spark: SparkSession, folder: str) -> DataFrame:
+    _, scored, _ = _scored(spark, folder)
+    return scored.select("query_id", "target_source", "target_id", "label")
+
+
+def blocking_stats(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    return blocking.blocking_stats(queries, _candidates(queries, targets))
+
+
+def blocking_recall(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    queries = _labelled_queries(queries, spark, folder)
+    return evaluation.blocking_recall(queries, _candidates(queries, targets), _truth(spark, folder))
+
+
+def macro_f05(spark: SparkSession, folder: str) -> DataFrame:
+    _, scored, counts = _scored(spark, folder)
+    return evaluation.macro_f05(counts, scored, SURE).withColumn("macro_f05", F.round("macro_f05", 6))
+
+
+def threshold_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    _, scored, counts = _scored(spark, folder)
+    return evaluation.threshold_sweep(counts, scored).select(F.round("threshold", 6).alias("threshold"), F.round("macro_f05", 6).alias("macro_f05"))
+
+
+def threshold_best(spark: SparkSession, folder: str) -> DataFrame:
+    _, scored, counts = _scored(spark, folder)
+    return evaluation.best_threshold(evaluation.threshold_sweep(counts, scored)).select(F.round("threshold", 6).alias("threshold"), F.round("macro_f05", 6).alias("macro_f05"))
+
+
+def match_lists(spark: SparkSession, folder: str) -> DataFrame:
+    queries, scored, _ = _scored(spark, folder)
+    return lists.match_lists(queries, scored, SURE)
+
+
+def candidate_lists(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    return lists.candidate_lists(queries, _candidates(queries, targets))
+
+
+def validate_id_lists(spark: SparkSession, folder: str) -> DataFrame:
+    known = table(spark, folder, "train_source2").select("entity_id").unionByName(table(spark, folder, "train_source3").select("entity_id"))
+    return lists.validate_lists(table(spark, folder, "train_matches"), "matched_entity_ids", table(spark, folder, "train_source1"), known)
+
+
+def blocking_survival(spark: SparkSession, folder: str) -> DataFrame:
+    queries, targets = sources(spark, folder)
+    return survival.blocking_survival(queries, targets, _truth(spark, folder))
+
+
+def model_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained on a tenth of the labelled queries, applied to the others; few trees, for a quick run."""
+    queries, targets = sources(spark, folder)
+    queries = _labelled_queries(queries, spark, folder)
+    rows = cut(features.labelled(features.pair_features(_candidates(queries, targets), queries, targets), _truth(spark, folder)))
+    train = rows.where(features.bucket(F.col("query_id")) < 50)
+    fitted = model.fit_model(train, replace(CONFIG, trees=8, depth=4))
+    return model.score(fitted, rows.where(features.bucket(F.col("query_id")) >= 50))
 
 
 def _labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,10 +221,12 @@ def p7_repairs(spark: SparkSession, folder: str) -> DataFrame:
     return parsing.read_deliveries(table(spark, folder, "raw_source_lines")).where("edits <> ''").select("line_id", "reason", "edits")
 
 
-def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p3_found, p3_labels, p7_found, p7_loaded, p7_repairs)}
+REFERENCE_QUERIES = (
+    scan_normalize, normalize_documents, truth_explode, truth_counts, hash_split, signature_exact, signature_shape, signature_pair, signature_df, signature_weights, candidate_raw,
+    candidate_shortlist, candidate_topk, candidate_bounded_pairs, pair_features, pair_labels, blocking_stats, blocking_recall, macro_f05, threshold_sweep, threshold_best, match_lists,
+    candidate_lists, validate_id_lists, blocking_survival, model_score,
+)
 
 
-def oracle_sql() -> dict[str, str]:
-    labels = "select trim(coalesce(country, '')) country, count(*) n_rows, count(distinct entity_id) n_distinct, count(*) > 0.05 * (select count(*) from train_source2) heavy from train_source2 group by 1"
-    return {"p3_found": f"select country from ({labels}) where heavy", "p3_labels": labels}
+def queries() -> dict[str, Query]:
+    return {f.__name__: f for f in (p3_found, p3_labels, p7_found, p7_loaded, p7_repairs, *REFERENCE_QUERIES)}
