@@ -176,7 +176,7 @@ def oracle_sql() -> dict[str, str]:
     labels = "select trim(coalesce(country, '')) country, count(*) n_rows, count(distinct entity_id) n_distinct, count(*) > 0.05 * (select count(*) from train_source2) heavy from train_source2 group by 1"
     bucket = "(concat('0x', substr(md5(entity_id), 1, 8))::bigint % 100)"
     signed_q, signed_t = f"with {SOURCES}, {_signatures('qs', 'q')}", f"with {SOURCES}, {_signatures('ts', 't')}, {_index()}"
-    bounded = "and (target_source, country, signature) in (select target_source, country, signature from ts where kind = 'pe' group by all having count(*) <= 50)"
+    bounded = "and (target_source, country, signature) in (select target_source, country, signature from ts where kind = 'pe' group by all having count(*) <= 10)"
     return {
         "p3_found": f"select country from ({labels}) where heavy",
         "p3_labels": labels,

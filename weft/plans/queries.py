@@ -125,7 +125,7 @@ def candidate_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 def candidate_bounded_pairs(spark: SparkSession, folder: str) -> DataFrame:
     queries, targets = sources(spark, folder)
-    index = blocking.weighted_index(signed(targets), targets, replace(CONFIG, max_pair_frequency=50))
+    index = blocking.weighted_index(signed(targets), targets, replace(CONFIG, max_pair_frequency=10))
     return blocking.raw_candidates(signatures.all_signatures(queries), index)
 
 
