@@ -73,6 +73,17 @@ def plain(c: str) -> str | None:
     return whole
 
 
+@lru_cache(maxsize=1)
+def compositions() -> dict[str, str]:
+    """Every letter that is composed of a base and a mark, with these two; the base may be composed itself."""
+    out = {}
+    for code in range(0xA0, 0x20000):
+        parts = unicodedata.decomposition(chr(code)).split()
+        if len(parts) == 2 and parts[0][0] != "<" and unicodedata.normalize("NFC", chr(code)) == chr(code):
+            out[chr(code)] = "".join(chr(int(p, 16)) for p in parts)
+    return out
+
+
 class Classes:
     """Union-find over strings."""
 
@@ -192,14 +203,9 @@ def build_rewriter(counts: dict[str, int]) -> Rewriter:
             classes.join(c, " ")
         elif c in HYPHENS:
             classes.join(c, "-")
-    marks = {c for c in pieces if unicodedata.category(c) == "Mn"}
-    bases = {c for c in counts if c.isalpha()} | {x for pair in SAME_SHAPE for x in pair}
-    # composed letters in turn can bear a further mark
-    for _ in range(2):
-        made = {whole: base + mark for mark in marks for base in bases if len(whole := unicodedata.normalize("NFC", base + mark)) == 1}
-        for whole, parts in made.items():
+    for whole, parts in compositions().items():
+        if parts[1] in counts:
             classes.join(parts, whole)
-        bases = {whole for whole in made if len(made[whole]) == 2}
 
     def number(x: str) -> int:
         return min((counts.get(c, 0) for c in x), default=1 << 60)
@@ -227,7 +233,8 @@ def count_code_points(columns: list[DataFrame]) -> dict[str, int]:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             counts = Counter("".join(v for v in frame.iloc[:, 0] if v))
-            yield pd.DataFrame({"c": list(counts), "n": list(counts.values())})
+            if counts:
+                yield pd.DataFrame({"c": list(counts), "n": list(counts.values())})
 
     parts = [df.mapInPandas(run, "c string, n long") for df in columns]
     whole = parts[0]

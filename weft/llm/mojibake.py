@@ -301,7 +301,8 @@ def _count(frames: Iterator[pd.DataFrame], model: Model | None) -> Iterator[pd.D
                 if m.start() not in labelled:
                     before, after = edges(text, *m.span())
                     counts.update((sort, c, around) for c, around in surroundings(before, m.group(), after))
-        yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["sort", "c", "around", "n"])
+        if counts:
+            yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["sort", "c", "around", "n"])
 
 
 def train(documents: DataFrame, text: str = "text", rounds: int = 3, first: tuple[float, ...] = (-3.0, -1.0, -3.0), last: tuple[float, ...] = (-6.0, -2.0, -3.0)) -> Model:
@@ -331,6 +332,7 @@ def find_garbled(documents: DataFrame, key: str = "doc_id", text: str = "text",
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [(k, *model.repair(t)) for k, t in zip(frame[key], frame[text], strict=True) if model.label(t)]
-            yield pd.DataFrame(found, columns=[key, "repaired", "restored"])
+            if found:
+                yield pd.DataFrame(found, columns=[key, "repaired", "restored"])
 
     return spread(documents.select(key, text)).mapInPandas(run, f"`{key}` {kind_of_key}, repaired string, restored boolean")
