@@ -89,6 +89,13 @@ class Name:
         return f"{' '.join(self.core)}|{' '.join(self.trade)}|{self.head}"
 
 
+    def node(self) -> str:
+        """The same text for all names that are compared alike: two whole words in alphabetical order, trades by their first letters."""
+        core = sorted(self.core) if len(self.core) == 2 and min(map(len, self.core)) >= 3 else self.core
+        return f"{' '.join(core)}|{' '.join(sorted({t[:5] for t in self.trade}))}|{self.head}"
+
+
+@lru_cache(maxsize=50_000)
 def from_text(text: str) -> Name:
     core, trade, head = text.split("|")
     return Name(tuple(core.split()), tuple(trade.split()), head)
@@ -182,6 +189,8 @@ def _options(core: tuple[str, ...]) -> Iterator[tuple[str, int, int]]:
             yield a + core[i + 1], i, i + 1
             if i + 2 < len(core):
                 yield a + core[i + 1] + core[i + 2], i, i + 2
+    if len(core) == 2:
+        yield core[1] + core[0], 0, 1
 
 
 def compare(reference: Name, typed: Name) -> tuple[float, float, float, float]:
@@ -232,7 +241,7 @@ def compare(reference: Name, typed: Name) -> tuple[float, float, float, float]:
     second = sum(seconds) / len(seconds) if seconds else -1.0
     trade = -1.0
     if reference.trade and typed.trade:
-        hits = [max(1.0 if t == r else 0.9 if same_stem(r, t) else alike(r, t) for t in typed.trade) for r in reference.trade]
+        hits = [max(1.0 if r.startswith(t) or t.startswith(r) else 0.9 if same_stem(r, t) else alike(r, t) for t in typed.trade) for r in reference.trade]
         trade = max(hits) if len(typed.trade) < len(reference.trade) else sum(hits) / len(hits)
     return main, second, trade, sum(map(len, others)) / whole
 
@@ -245,7 +254,7 @@ def is_acronym(reference: Name, typed: Name) -> bool:
     """Whether the typed name's head is the initials of the reference's words, in any order, and its other words are of the reference's trade."""
     initials = sorted(w[0] for w in reference.core + reference.trade)
     others = [w for w in typed.core + typed.trade if w != typed.head]
-    return len(typed.head) >= 2 and len(initials) >= 2 and sorted(typed.head) == initials and all(w in reference.trade for w in others)
+    return len(typed.head) >= 2 and len(initials) >= 2 and sorted(typed.head) == initials and all(any(r.startswith(w) or w.startswith(r) for r in reference.trade) for w in others)
 
 
 def matches(scores: tuple[float, float, float, float]) -> bool:
@@ -269,7 +278,7 @@ def _pair_keys(main: str, other: str) -> set[str]:
     if len(other) < 2:
         return {f"i{main[:5]}|{other}", f"j{main[-7:]}|{other}"}
     o, end = other[:4], other[-3:]
-    return {"p" + "|".join(sorted((main[:4], o))), f"s{main[-6:]}|{o}", f"w{main[:3]}{main[-3:]}|{o}", f"r{main[-6:]}|{end}", f"v{main[:4]}|{end}"}
+    return {"p" + "|".join(sorted((main[:4], o))), f"s{main[-5:]}|{o}", f"w{main[:3]}{main[-3:]}|{o}", f"r{main[-6:]}|{end}", f"v{main[:4]}|{end}"}
 
 
 def reference_keys(name: Name) -> set[str]:
@@ -282,7 +291,8 @@ def reference_keys(name: Name) -> set[str]:
     main = sound(name.core[0])
     out = {f"f{main}", f"h{main[:8]}", f"t{main[-8:]}"}
     for other in map(sound, name.core[1:]):
-        out |= _pair_keys(main, other) | _pair_keys(main, other[:1])
+        # for initials too, and for abbreviations of which three sounds are left
+        out |= _pair_keys(main, other) | _pair_keys(main, other[:1]) | {"p" + "|".join(sorted((main[:4], other[:3])))}
     return out
 
 
@@ -293,6 +303,8 @@ def typed_keys(name: Name) -> set[str]:
     """
     sounds = [sound(w) for w in name.core]
     joined = [sound(a + b) for a, b in zip(name.core, name.core[1:], strict=False)]
+    if len(sounds) == 2:
+        joined.append(sound(name.core[1] + name.core[0]))
     out = {f"f{s}" for s in (*sounds, *joined) if len(s) >= 3}
     if len(sounds) == 1:
         out |= {f"h{sounds[0][:8]}", f"t{sounds[0][-8:]}"}
