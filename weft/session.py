@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,11 +18,12 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's if it names one, else (in tests) a new local one."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that all executors share: what spark.checkpoint.dir names, else (in tests) a new local one."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return context._jsc.sc().getCheckpointDir().get()
+    known = context._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        return known.get()
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not configured and not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
@@ -30,6 +32,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared checkpoint folder, so that lost executors cost no recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows, written as a compressed table to the shared folder, so that lost executors cost no recomputation.
+
+    The table is deleted when the session's process ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/weft-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)
