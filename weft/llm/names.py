@@ -278,7 +278,7 @@ def _pair_keys(main: str, other: str) -> set[str]:
     if len(other) < 2:
         return {f"i{main[:5]}|{other}", f"j{main[-7:]}|{other}"}
     o, end = other[:4], other[-3:]
-    return {"p" + "|".join(sorted((main[:4], o))), f"s{main[0]}{main[-5:]}|{o}", f"w{main[:3]}{main[-3:]}|{o}", f"r{main[-6:]}|{end}", f"v{main[:4]}|{end}"}
+    return {"p" + "|".join(sorted((main[:4], o))), f"s{main[0]}{main[-5:]}|{o}", f"w{main[:3]}{main[-3:]}|{o}", f"r{main[-6:]}|{end}", f"v{main[:5]}|{end}"}
 
 
 def reference_keys(name: Name) -> set[str]:
