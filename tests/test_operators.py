@@ -90,6 +90,18 @@ def test_planted_defects_are_found(spark):
     }
 
 
+def test_form_of_list_files(spark, tmp_path):
+    def rules(text):
+        path = tmp_path / "f.tsv"
+        path.write_text(text)
+        return {r.rule: r.n for r in lists.validate_file(spark, str(path), "matched_entity_ids").collect()}
+
+    assert rules("Source1_entity_id\t matched_entity_ids \nS1-1\tS2-1\n\nS1-2\t\n") == {}
+    assert rules("source1_entity_id,matched_entity_ids\nS1-1\tS2-1\nS1-2\n") == {"comma_header": 1, "no_tab": 1}
+    assert rules("id\tmatched_entity_ids\nS1-1\nS1-2\n") == {"wrong_header": 1, "no_tab": 2}
+    assert rules("") == {"wrong_header": 1}
+
+
 def test_short_texts_have_no_ngram(spark):
     got = spark.createDataFrame([("abcd",), ("abcdef",)], "s string").select(survival.char_ngrams(F.col("s")).alias("g")).collect()
     assert [r.g for r in got] == [[], ["abcde", "bcdef"]]

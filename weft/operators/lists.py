@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,6 +43,30 @@ def write_tsv(lists: DataFrame, path: str, single_file: bool = False) -> None:
         os.rename(f"{path}.part", path)
 
 
+def validate_file(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """Check the form of a list file: rule, severity, n and examples, as `validate_lists`; no rows for a sound one.
+
+    The header must be source1_entity_id, a tab and the column (blanks around and case don't matter); one with commas is said to be
+    of another format; every other line that isn't blank must hold a tab.
+    """
+    lines = spark.read.text(path).withColumn("n", F.monotonically_increasing_id())
+    first = lines.agg(F.min_by("value", "n").alias("h"), F.min("n").alias("n"))
+    head = F.lower(F.trim(F.coalesce("h", F.lit(""))))
+    wanted = f"source1_entity_id\t{column}".lower()
+    kind = F.when(F.regexp_replace(head, r"\s*\t\s*", "\t") == wanted, None).when(head.contains(",") & ~head.contains("\t"), "comma_header").otherwise("wrong_header")
+    header = first.select(kind.alias("rule"), F.lit("error").alias("severity"), F.lit(1).cast("long").alias("n"), F.coalesce("h", F.lit("")).alias("examples")).where("rule is not null")
+    body = lines.join(F.broadcast(first.select("n")), "n", "left_anti").where("trim(value) <> '' and instr(value, '\t') = 0")
+    shown = body.groupBy(F.substring("value", 1, 80).alias("e")).agg(F.count("*").alias("c"))
+    examples = shown.orderBy("e").limit(5).agg(F.concat_ws(" ", F.array_sort(F.collect_list("e"))).alias("examples"))
+    bare = shown.agg(F.sum("c").alias("n")).crossJoin(examples).where("n > 0").select(F.lit("no_tab").alias("rule"), F.lit("error").alias("severity"), "n", "examples")
+    return header.unionByName(bare)
+
+
+def read_lists(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """The lists of a file: source1_entity_id and the column."""
+    return spark.read.csv(path, sep="\t", header=True, quote="", schema=f"source1_entity_id string, `{column}` string")
+
+
 def validate_lists(lists: DataFrame, column: str, required: DataFrame, known: DataFrame | None = None, superset: DataFrame | None = None) -> DataFrame:
     """Check id lists: rule, severity, n and examples (up to five, joined by blanks) of every rule that is broken.
 

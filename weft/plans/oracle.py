@@ -183,7 +183,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_normalize": f"""with {SOURCES}, everyone as (select * from q union all select * from t)
             select target_source, entity_id, country, name_norm, core_name, address_norm, array_to_string(name_tokens, ' ') name_tokens,
             array_to_string(address_tokens, ' ') address_tokens, array_to_string(digit_tokens, ' ') digit_tokens from everyone""",
-        "normalize_documents": f"select doc_id, {_norm("coalesce(title, '')")} title_norm from documents",
+        "normalize_documents": f"select doc_id, {_norm("coalesce(title, '')")} title_norm, {_norm("coalesce(text, '')")} text_norm from documents",
         "truth_explode": f"with {TRUTH} select * from truth",
         "truth_counts": f"with {SOURCES}, {TRUTH} select entity_id query_id, count(truth.target_id) truth_count from q left join truth on source1_entity_id = entity_id group by all",
         "hash_split": f"with {SOURCES} select entity_id, case when {bucket} < {CONFIG.train_percent} then 'train' else 'validation' end split from q where {bucket} < {CONFIG.train_percent + CONFIG.validation_percent}",

@@ -71,7 +71,7 @@ def scan_normalize(spark: SparkSession, folder: str) -> DataFrame:
 def normalize_documents(spark: SparkSession, folder: str) -> DataFrame:
     from weft.functions.text import normalise
 
-    return table(spark, folder, "documents").select("doc_id", normalise(F.col("title")).alias("title_norm"))
+    return table(spark, folder, "documents").select("doc_id", normalise(F.col("title")).alias("title_norm"), normalise(F.col("text")).alias("text_norm"))
 
 
 def truth_explode(spark: SparkSession, folder: str) -> DataFrame:
