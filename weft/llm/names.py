@@ -241,13 +241,14 @@ def compare(reference: Name, typed: Name) -> tuple[float, float, float, float]:
     second = sum(seconds) / len(seconds) if seconds else -1.0
     trade = -1.0
     if reference.trade and typed.trade:
-        hits = [max(1.0 if r.startswith(t) or t.startswith(r) else 0.9 if same_stem(r, t) else alike(r, t) for t in typed.trade) for r in reference.trade]
+        hits = [max(1.0 if r.startswith(t) or t.startswith(r) else 0.9 if abbreviates(t, r) else alike(r, t) for t in typed.trade) for r in reference.trade]
         trade = max(hits) if len(typed.trade) < len(reference.trade) else sum(hits) / len(hits)
     return main, second, trade, sum(map(len, others)) / whole
 
 
-def same_stem(a: str, b: str) -> bool:
-    return len(a) >= 3 and len(b) >= 3 and a[:3] == b[:3]
+def abbreviates(short: str, word: str) -> bool:
+    """Whether a word of three letters or more has the start of another, or its first letter and only letters of it in order."""
+    return len(short) >= 3 and (short[:3] == word[:3] or (short[0] == word[0] and lcs(word, short) == len(short)))
 
 
 def is_acronym(reference: Name, typed: Name) -> bool:
@@ -299,15 +300,17 @@ def reference_keys(name: Name) -> set[str]:
 def typed_keys(name: Name) -> set[str]:
     """The same keys of a typed name, each of whose words, or two neighbouring ones written as one, may be the telling one.
 
-    Pet forms are sought under the full forms too. A word alone is sought whole, and by its long parts if it is the only one.
+    Pet forms are sought under the full forms too. Words are sought whole too, and by their long parts if it is the only one or very long.
     """
     sounds = [sound(w) for w in name.core]
     joined = [sound(a + b) for a, b in zip(name.core, name.core[1:], strict=False)]
     if len(sounds) == 2:
         joined.append(sound(name.core[1] + name.core[0]))
     out = {f"f{s}" for s in (*sounds, *joined) if len(s) >= 3}
-    if len(sounds) == 1:
-        out |= {f"h{sounds[0][:8]}", f"t{sounds[0][-8:]}"}
+    for s in sounds:
+        # a word so long may be two written as one
+        if len(sounds) == 1 or len(s) >= 12:
+            out |= {f"h{s[:8]}", f"t{s[-8:]}"}
     words = [(s, i, i) for i, s in enumerate(sounds)]
     if len(sounds) > 2:
         words += [(s, i, i + 1) for i, s in enumerate(joined)]
