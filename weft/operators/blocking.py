@@ -93,7 +93,8 @@ def final_candidates(scored: DataFrame, config: LinkConfig = LinkConfig()) -> Da
 
 def blocking_stats(queries: DataFrame, candidates: DataFrame) -> DataFrame:
     """One row: queries, candidates, queries_with_candidates, average_candidates (0 without queries)."""
-    found = candidates.agg(F.count("*").alias("candidates"), F.countDistinct("query_id").alias("queries_with_candidates"))
-    asked = queries.agg(F.count("*").alias("queries"))
+    asked = queries.select(F.lit(1).alias("q"), F.lit(None).cast("string").alias("query_id"))
+    both = asked.unionByName(candidates.select(F.lit(0).alias("q"), "query_id"))
+    counted = both.agg(F.count(F.when(F.col("q") == 1, 1)).alias("queries"), F.count(F.when(F.col("q") == 0, 1)).alias("candidates"), F.countDistinct("query_id").alias("queries_with_candidates"))
     average = F.when(F.col("queries") == 0, 0.0).otherwise(F.col("candidates") / F.col("queries"))
-    return asked.crossJoin(F.broadcast(found)).withColumn("average_candidates", average)
+    return counted.withColumn("average_candidates", average)

@@ -46,20 +46,20 @@ def threshold_sweep(counts: DataFrame, scored: DataFrame) -> DataFrame:
     """threshold and macro_f05 of every threshold. Each pair is counted at its own number of thresholds, then summed up from the top.
 
     A query's score changes only where one of its pairs falls in, so the sweep handles a row for each pair and threshold level, not
-    each pair at every threshold.
+    each pair at every threshold. The thresholds, at most 280, are collected first.
     """
-    levels = F.broadcast(thresholds(scored).agg(F.array_sort(F.collect_set("threshold")).alias("levels")))
+    levels = F.array(*[F.lit(r.threshold) for r in thresholds(scored).orderBy("threshold").collect()])
     # the index of the highest threshold that a pair passes
-    passed = F.size(F.filter("levels", lambda t: t <= F.col("probability")))
-    pairs = scored.crossJoin(levels).select("query_id", "label", passed.alias("k")).where("k > 0")
+    passed = F.size(F.filter(levels, lambda t: t <= F.col("probability")))
+    pairs = scored.select("query_id", "label", passed.alias("k")).where("k > 0")
     by_level = pairs.groupBy("query_id", "k").agg(F.count("*").alias("p"), F.sum("label").alias("h"))
     per_query = by_level.groupBy("query_id").agg(F.collect_list(F.struct("k", "p", "h")).alias("steps"))
-    joined = counts.join(per_query, "query_id", "left").crossJoin(levels)
+    joined = counts.join(per_query, "query_id", "left")
 
     def upto(name: str, k: Column) -> Column:
         return F.aggregate(F.coalesce("steps", F.array()), F.lit(0).cast("long"), lambda total, s: total + F.when(s["k"] >= k, s[name]).otherwise(F.lit(0).cast("long")))
 
-    scores = F.transform("levels", lambda t, i: F.struct(t.alias("threshold"), entity_score(F.col("truth_count"), upto("p", i + 1), upto("h", i + 1)).alias("s")))
+    scores = F.transform(levels, lambda t, i: F.struct(t.alias("threshold"), entity_score(F.col("truth_count"), upto("p", i + 1), upto("h", i + 1)).alias("s")))
     return joined.select(F.explode(scores).alias("x")).groupBy("x.threshold").agg(F.avg("x.s").alias("macro_f05"))
 
 

@@ -43,6 +43,14 @@ def write_tsv(lists: DataFrame, path: str, single_file: bool = False) -> None:
         os.rename(f"{path}.part", path)
 
 
+def _finding(rule: str, severity: str, shown: DataFrame, weight: Column) -> DataFrame:
+    """A row for a broken rule, none for one that holds. shown: e, the different offenders; n sums up the weight."""
+    counted = shown.select(weight.cast("long").alias("n"), F.lit(None).cast("string").alias("e"))
+    first = shown.orderBy("e").limit(5).select(F.lit(0).cast("long").alias("n"), "e")
+    whole = counted.unionByName(first).agg(F.sum("n").alias("n"), F.concat_ws(" ", F.array_sort(F.collect_list("e"))).alias("examples"))
+    return whole.where("n > 0").select(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), "n", "examples")
+
+
 def validate_file(spark: SparkSession, path: str, column: str) -> DataFrame:
     """Check the form of a list file: rule, severity, n and examples, as `validate_lists`; no rows for a sound one.
 
@@ -56,9 +64,7 @@ def validate_file(spark: SparkSession, path: str, column: str) -> DataFrame:
     kind = F.when(F.regexp_replace(head, r"\s*\t\s*", "\t") == wanted, None).when(head.contains(",") & ~head.contains("\t"), "comma_header").otherwise("wrong_header")
     header = first.select(kind.alias("rule"), F.lit("error").alias("severity"), F.lit(1).cast("long").alias("n"), F.coalesce("h", F.lit("")).alias("examples")).where("rule is not null")
     body = lines.join(F.broadcast(first.select("n")), "n", "left_anti").where("trim(value) <> '' and instr(value, '\t') = 0")
-    shown = body.groupBy(F.substring("value", 1, 80).alias("e")).agg(F.count("*").alias("c"))
-    examples = shown.orderBy("e").limit(5).agg(F.concat_ws(" ", F.array_sort(F.collect_list("e"))).alias("examples"))
-    bare = shown.agg(F.sum("c").alias("n")).crossJoin(examples).where("n > 0").select(F.lit("no_tab").alias("rule"), F.lit("error").alias("severity"), "n", "examples")
+    bare = _finding("no_tab", "error", body.groupBy(F.substring("value", 1, 80).alias("e")).agg(F.count("*").alias("c")), F.col("c"))
     return header.unionByName(bare)
 
 
@@ -78,10 +84,7 @@ def validate_lists(lists: DataFrame, column: str, required: DataFrame, known: Da
     need = required.select(F.trim("entity_id").alias("s")).distinct()
 
     def found(rule: str, severity: str, frame: DataFrame, example: str) -> DataFrame:
-        shown = frame.groupBy(F.col(example).alias("e")).agg(F.count("*").alias("c"))
-        first = shown.orderBy("e").limit(5).agg(F.concat_ws(" ", F.array_sort(F.collect_list("e"))).alias("examples"))
-        whole = shown.agg(F.count("*").alias("n"))
-        return whole.crossJoin(first).where("n > 0").select(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), "n", "examples")
+        return _finding(rule, severity, frame.select(F.col(example).alias("e")).distinct(), F.lit(1))
 
     checks = [
         found("duplicate_row", "error", rows.groupBy("s").count().where("count > 1"), "s"),

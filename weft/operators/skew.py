@@ -54,8 +54,8 @@ def plan_loads(heavy: dict[str, int], buckets: list[int], tasks: int) -> LoadPla
 def measure_loads(df: DataFrame, key: str, tasks: int, buckets_per_task: int = 4) -> LoadPlan:
     """Count rows by key (combined on the map side) and plan. At most `tasks` heavy keys and `buckets_per_task * tasks` buckets reach the driver."""
     count = tasks * buckets_per_task
-    loads = df.groupBy(key).agg(F.count("*").alias("n"))
-    with_share = loads.crossJoin(F.broadcast(df.agg((F.count("*") / F.lit(tasks)).alias("share")))).withColumn("heavy", F.col("n") > F.col("share"))
+    share = df.count() / tasks
+    with_share = df.groupBy(key).agg(F.count("*").alias("n")).withColumn("heavy", F.col("n") > share)
     bucket = F.when(F.col("heavy"), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64(key), F.lit(count)))
     rows = with_share.groupBy(F.when(F.col("heavy"), F.col(key)).alias("k"), bucket.alias("b")).agg(F.sum("n").alias("n")).collect()
     by_bucket = [0] * count
@@ -104,8 +104,8 @@ def per_key_counts(df: DataFrame, key: str, distinct_of: str, heavy_share: float
         .groupBy("task", "k", "v").agg(F.count("*").alias("n"))
         .groupBy("task", "k").agg(F.sum("n").alias("n_rows"), F.count("v").alias("n_distinct"))
     )
-    whole = rows.agg(F.count("*").alias("whole"))
-    totals = rows.groupBy("k").agg(F.count("*").alias("key_rows")).crossJoin(F.broadcast(whole)).select("k", (F.col("key_rows") / F.col("whole")).alias("share"), F.explode(replicas(plan, "k")).alias("task"))
+    whole = sum(plan.loads)
+    totals = rows.groupBy("k").agg(F.count("*").alias("key_rows")).select("k", (F.col("key_rows") / F.lit(float(max(1, whole)))).alias("share"), F.explode(replicas(plan, "k")).alias("task"))
     return (
         fragments.join(totals, ["k", "task"])
         .groupBy("k").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_distinct").alias("n_distinct"), F.max("share").alias("share"))
