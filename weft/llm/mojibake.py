@@ -41,7 +41,7 @@ WIDE = ("cp932", "gbk", "big5", "cp949")
 LOST = "lost"
 RUNS = re.compile(r"[^\x00-\x7f]+")
 LETTERS = re.compile(r"[A-Za-z]+")
-SWAP = str.maketrans("lu", "ul")
+SWAP = str.maketrans("lukK", "ulKk")
 MISFIT, CUT_SHORT, ASCII, REPLACED = math.log(1e-6), math.log(1e-3), math.log(0.03), math.log(1e-2)
 
 #: A state's key: the transforms to undo, the last first: (read as, written in).
@@ -129,11 +129,13 @@ def undo(text: str, read_as: str, written_in: str) -> tuple[str, int, int]:
 
 
 def kind(c: str) -> str:
-    """What sort of character a neighbour is: s blank, edge or line end, l or u letter, d digit, p other ASCII, x other."""
+    """What sort of character a neighbour is: s blank or edge, l or u Latin letter, k or K other letter, d digit, p other ASCII, x other."""
     if c == "" or c.isspace():
         return "s"
     if c.isalpha():
-        return "u" if c.isupper() else "l"
+        if c < "ɐ":
+            return "u" if c.isupper() else "l"
+        return "K" if c.isupper() else "k"
     return "d" if c.isdigit() else "p" if c < "\x80" else "x"
 
 
@@ -145,7 +147,7 @@ def edges(text: str, a: int, b: int) -> tuple[str, str]:
 def surroundings(before: str, run: str, after: str) -> Iterator[tuple[str, str]]:
     """Each non-ASCII character of a stretch, letters in lower case, with the kinds of its neighbours; an ASCII one with ''.
 
-    A neighbour that is the same character is r. A letter's neighbours are l if they are letters of its own case and u if of the other, so that text in capitals is as likely as
+    A neighbour that is the same character is r. A letter's neighbours are l or k if they are letters of its own case and u or K if of the other, so that text in capitals is as likely as
     other text.
     """
     kinds = [before, *map(kind, run), after]
@@ -154,7 +156,7 @@ def surroundings(before: str, run: str, after: str) -> Iterator[tuple[str, str]]
         right = "r" if run[i + 1 : i + 2] == c else kinds[i + 2]
         if c < "\x80":
             yield c, ""
-        elif kinds[i + 1] == "u":
+        elif kinds[i + 1] in "uK":
             low = c.lower()
             yield low if len(low) == 1 else c, left.translate(SWAP) + right.translate(SWAP)
         else:
@@ -306,7 +308,7 @@ def _count(frames: Iterator[pd.DataFrame], model: Model | None) -> Iterator[pd.D
 
 
 def train(documents: DataFrame, text: str = "text", rounds: int = 3, first: tuple[float, ...] = (-3.0, -1.0, -3.0), last: tuple[float, ...] = (-6.0, -2.0, -3.0)) -> Model:
-    """Fit the emissions on all documents. The counts that reach the driver have at most 98 rows for each code point of Unicode.
+    """Fit the emissions on all documents. The counts that reach the driver have at most 162 rows for each code point of Unicode.
 
     rounds: labelings of the corpus from which clean text is counted anew. first, last: enter, leave and unsure of the model while
     counts still hold garbled text, and at the end. An empty table gives a model that finds everything clean.
