@@ -40,7 +40,6 @@ TWICE = tuple((a, b) for a in ("cp1252", "latin-1", "cp1251", "cp1250", "mac_rom
 WIDE = ("cp932", "gbk", "big5", "cp949")
 LOST = "lost"
 RUNS = re.compile(r"[^\x00-\x7f]+")
-LETTERS = re.compile(r"[A-Za-z]+")
 SWAP = str.maketrans("lukK", "ulKk")
 MISFIT, CUT_SHORT, ASCII, REPLACED = math.log(1e-6), math.log(1e-3), math.log(0.03), math.log(1e-2)
 
@@ -139,11 +138,6 @@ def kind(c: str) -> str:
     return "d" if c.isdigit() else "p" if c < "\x80" else "x"
 
 
-def edges(text: str, a: int, b: int) -> tuple[str, str]:
-    """The kinds of what stands before and after a stretch."""
-    return kind(text[a - 1 : a]), kind(text[b : b + 1])
-
-
 def surroundings(before: str, run: str, after: str) -> Iterator[tuple[str, str]]:
     """Each non-ASCII character of a stretch, letters in lower case, with the kinds of its neighbours; an ASCII one with ''.
 
@@ -164,9 +158,18 @@ def surroundings(before: str, run: str, after: str) -> Iterator[tuple[str, str]]
 
 
 def sort_of(text: str) -> str:
-    """a: a text with many ASCII letters; o: another."""
-    letters = sum(map(len, LETTERS.findall(text)))
-    return "a" if 4 * letters >= len(text) else "o"
+    """a: a text of which at least three quarters are ASCII; o: another."""
+    return "a" if 4 * len(text.encode("ascii", "ignore")) >= 3 * len(text) else "o"
+
+
+#: A stretch as the model sees it: the sort of the text, what stands before, the stretch, what stands after.
+Seen = tuple[str, str, str, str]
+
+
+def stretches(text: str) -> list[tuple[int, int, Seen]]:
+    """The non-ASCII stretches of a text, with their places."""
+    sort = sort_of(text)
+    return [(a, b, (sort, kind(text[a - 1 : a]), text[a:b], kind(text[b : b + 1]))) for a, b in (m.span() for m in RUNS.finditer(text))]
 
 
 @dataclass
@@ -183,6 +186,7 @@ class Model:
     leave: float
     unsure: float
     memory: dict = field(default_factory=dict, repr=False)
+    clean: set = field(default_factory=set, repr=False)
     alone: dict = field(default_factory=dict, repr=False)
     anywhere: dict = field(default_factory=dict, repr=False)
 
@@ -193,7 +197,7 @@ class Model:
                 self.anywhere[c, around] = self.anywhere.get((c, around), 0) + n
 
     def __getstate__(self) -> dict:
-        return {"counts": self.counts, "totals": self.totals, "enter": self.enter, "leave": self.leave, "unsure": self.unsure, "memory": {}, "alone": {}, "anywhere": {}}
+        return {"counts": self.counts, "totals": self.totals, "enter": self.enter, "leave": self.leave, "unsure": self.unsure, "memory": {}, "clean": set(), "alone": {}, "anywhere": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -211,16 +215,16 @@ class Model:
                 # a neighbourhood that a frequent character never had tells against it, so it counts as half a character at most
                 unseen = min(0.5, 0.1 * self.alone.get((sort, c), 0) / 36)
                 n = self.counts.get((sort, c, around), 0) + unseen + 0.01 * self.anywhere.get((c, around), 0)
-                whole += math.log((n + 0.01) / (self.totals.get(sort, 0) + 1))
+                whole += math.log((n + 0.002) / (self.totals.get(sort, 0) + 1))
         return whole
 
-    def score(self, sort: str, before: str, run: str, after: str) -> tuple[float, dict[State | str, float]]:
-        """Log likelihood in the clean state, and by garbled state what it is more than that, where it is more than -30."""
-        key = (sort, before, run, after)
-        known = self.memory.get(key)
+    def gains(self, seen: Seen) -> dict[State | str, float]:
+        """By garbled state, how much likelier than clean a stretch is, where that is more than -30; empty if no state is likelier."""
+        known = self.memory.get(seen)
         if known is None:
+            sort, before, run, after = seen
             clean = self.likely(sort, before, run, after)
-            others: dict[State | str, float] = {}
+            known = {}
             for state in states():
                 text, misfits, short = run, 0, 0
                 for step, (read_as, written_in) in enumerate(state):
@@ -232,25 +236,27 @@ class Model:
                 if misfits >= 0:
                     gain = self.likely(sort, before, text, after) + MISFIT * misfits + CUT_SHORT * short - clean
                     if gain > -30:
-                        others[state] = gain
-            if "�" in run:
-                others[LOST] = sum(REPLACED if c == "�" else self.likely(sort, "l", c, "l") for c in run) - clean
-            known = clean, others
+                        known[state] = gain
+            if "\ufffd" in run:
+                known[LOST] = sum(REPLACED if c == "\ufffd" else self.likely(sort, "l", c, "l") for c in run) - clean
             if len(self.memory) > 200_000:
                 self.memory.clear()
+                self.clean.clear()
             if len(run) < 100:
-                self.memory[key] = known
+                self.memory[seen] = known
+                if all(gain <= 0 for gain in known.values()):
+                    self.clean.add(seen)
         return known
 
-    def label(self, text: str | None) -> list[tuple[int, int, State | str]]:
+    def label(self, text: str | None, runs: list[tuple[int, int, Seen]] | None = None) -> list[tuple[int, int, State | str]]:
         """The stretches of a text whose most likely state isn't the clean one, with that state, from Viterbi's path."""
         if not text or text.isascii():
             return []
-        runs, sort = [], sort_of(text)
-        for m in RUNS.finditer(text):
-            before, after = edges(text, *m.span())
-            runs.append((*m.span(), self.score(sort, before, m.group(), after)[1]))
-        if all(not more or max(more.values()) <= 0 for _, _, more in runs):
+        found = stretches(text) if runs is None else runs
+        if self.clean.issuperset(seen for _, _, seen in found):
+            return []
+        runs = [(a, b, self.gains(seen)) for a, b, seen in found]
+        if all(gain <= 0 for _, _, more in runs for gain in more.values()):
             return []
         # relative to the clean state, whose likelihood is 0 at every step
         best: dict[State | str | None, float] = {None: 0.0}
@@ -291,18 +297,19 @@ class Model:
 def _count(frames: Iterator[pd.DataFrame], model: Model | None) -> Iterator[pd.DataFrame]:
     for frame in frames:
         counts: Counter[tuple[str, str, str]] = Counter()
+        met: Counter[Seen] = Counter()
         for text in frame.iloc[:, 0]:
             if not text:
                 continue
-            sort = sort_of(text)
-            counts[sort, "", ""] += len(text)
+            counts[sort_of(text), "", ""] += len(text)
             if text.isascii():
                 continue
-            labelled = {a for a, _, _ in model.label(text)} if model else ()
-            for m in RUNS.finditer(text):
-                if m.start() not in labelled:
-                    before, after = edges(text, *m.span())
-                    counts.update((sort, c, around) for c, around in surroundings(before, m.group(), after))
+            runs = stretches(text)
+            labelled = {a for a, _, _ in model.label(text, runs)} if model else ()
+            met.update(seen for a, _, seen in runs if a not in labelled)
+        for (sort, before, run, after), n in met.items():
+            for c, around in surroundings(before, run, after):
+                counts[sort, c, around] += n
         if counts:
             yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["sort", "c", "around", "n"])
 
