@@ -41,6 +41,8 @@ _ALIAS = re.compile(r"\s*\(?\b(?:trading as|t/a|also known as|a/k/a|aka)\b.*")
 _DBA = re.compile(r".*\b(?:dba|d/b/a|doing business as)\b")
 _EDGE = re.compile(r"^\s*(?:m/s\.?|the|messrs\.?)\s+|\s+-\s+(?:head office|branch|h\.?o\.?)\s*$")
 _TOKEN = re.compile(r"[^\W_]+")
+#: Letters with the sound of another; a doubled sound is made single later.
+_SOUNDS = str.maketrans({"c": "k", "q": "k", "w": "v", "z": "s", "y": "i", "x": "ks"})
 _DOUBLE = re.compile(r"(.)\1+")
 
 
@@ -57,7 +59,7 @@ def fold(text: str | None) -> str:
 @lru_cache(maxsize=100_000)
 def sound(word: str) -> str:
     """A word with spellings that sound alike made equal."""
-    w = word.replace("ph", "f").replace("ee", "i").replace("oo", "u").replace("ck", "k").replace("c", "k").replace("q", "k").replace("w", "v").replace("z", "s").replace("y", "i").replace("x", "ks")
+    w = word.replace("ph", "f").replace("ee", "i").replace("oo", "u").translate(_SOUNDS)
     return _DOUBLE.sub(r"\1", w[:1] + w[1:].replace("h", ""))
 
 
@@ -233,6 +235,10 @@ def compare(reference: Name, typed: Name) -> tuple[float, float, float, float]:
     for r in rest:
         if not others:
             break
+        if r in others:
+            seconds.append(1.0)
+            others.remove(r)
+            continue
         choice = max(_options(tuple(others)), key=lambda o: word_score(r, o[0]))
         value = word_score(r, choice[0])
         seconds.append(value)
