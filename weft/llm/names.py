@@ -285,18 +285,18 @@ def _pair_keys(main: str, other: str) -> set[str]:
     if len(other) < 2:
         return {f"i{main[:5]}|{other}", f"j{main[-7:]}|{other}"}
     o, end = other[:4], other[-3:]
-    return {"p" + "|".join(sorted((main[:4], o))), f"s{main[0]}{main[-5:]}|{o}", f"w{main[:3]}{main[-3:]}|{o}", f"r{main[-6:]}|{end}", f"v{main[:5]}|{end}"}
+    return {"p" + "|".join(sorted((main[:4], o))), f"s{main[0]}{main[-5:]}|{o}", f"w{main[:3]}{main[-3:]}|{o}", f"r{main[-7:]}|{end}", f"v{main[:5]}|{end}"}
 
 
 def reference_keys(name: Name) -> set[str]:
-    """Keys of a reference name, whose telling word comes first: that word whole, how it begins, its suffix, and parts of it with another word.
+    """Keys of a reference name, whose telling word comes first: that word whole, how it begins, its long suffix, and parts of it with another word.
 
     Suffixes that many words share are used only with a part of another word; the long ones alone are for typed names of one word.
     """
     if not name.core:
         return set()
     main = sound(name.core[0])
-    out = {f"f{main}", f"h{main[:8]}", f"t{main[-8:]}"}
+    out = {f"f{main}", f"h{main[:8]}", f"t{main[-9:]}"}
     for other in map(sound, name.core[1:]):
         # for initials too, and for abbreviations of which three sounds are left
         out |= _pair_keys(main, other) | _pair_keys(main, other[:1]) | {"p" + "|".join(sorted((main[:4], other[:3])))}
@@ -316,7 +316,7 @@ def typed_keys(name: Name) -> set[str]:
     for s in sounds:
         # a word so long may be two written as one
         if len(sounds) == 1 or len(s) >= 12:
-            out |= {f"h{s[:8]}", f"t{s[-8:]}"}
+            out |= {f"h{s[:8]}", f"t{s[-9:]}"}
     words = [(s, i, i) for i, s in enumerate(sounds)]
     if len(sounds) > 2:
         words += [(s, i, i + 1) for i, s in enumerate(joined)]
