@@ -2,9 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tests.oracle_check import agree
 from weft.config import FEATURES, LinkConfig
 from weft.operators import blocking, evaluation, features, lists, model, records, signatures, survival
-from weft.plans import queries
+from weft.plans import oracle, queries
 
 RECORD = "entity_id string, business_name string, business_address string, country string"
 
@@ -122,3 +123,10 @@ def test_model_is_saved_and_scores(spark, tmp_path):
 
 def test_index_join_finds_the_same_without_a_cap(spark, small):
     assert queries.queries()["candidate_raw"](spark, small).count() >= queries.queries()["candidate_bounded_pairs"](spark, small).count() > 0
+
+
+def test_match_lists_have_a_row_for_every_reference_record(spark, small):
+    sql = f"""{oracle.CANDIDATES} select q.entity_id source1_entity_id, coalesce(string_agg(c.target_id, ',' order by c.target_source, c.target_id)
+        filter (round(0.5 * (name_jaro + address_jaro), 9) >= 0.8), '') matched_entity_ids
+        from q left join cand c on c.query_id = q.entity_id group by q.entity_id"""
+    agree(spark, small, queries.match_lists, sql)

@@ -167,7 +167,9 @@ def threshold_best(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def match_lists(spark: SparkSession, folder: str) -> DataFrame:
-    queries, scored, _ = _scored(spark, folder)
+    """Of all reference records, by the score without a model; needs no labels."""
+    queries, targets = sources(spark, folder)
+    scored = model.baseline_score(_candidates(queries, targets)).withColumn("probability", F.round("probability", 9))
     return lists.match_lists(queries, scored, SURE)
 
 
