@@ -35,3 +35,10 @@ def test_hot_rows_are_spread(spark):
     plan = skew.measure_loads(df, "k", 8)
     sizes = df.withColumn("task", skew.assign_task(plan, "k", "v")).repartitionById(8, "task").rdd.glom().map(len).collect()
     assert max(sizes) < 2 * 4100 / 8
+
+
+def test_all_rows_are_counted_in_fragments(spark):
+    df = spark.createDataFrame([("a", "x")] * 50 + [("b", "y")], "k string, v string").repartition(2)
+    plan = skew.per_key_counts(df, "k", "v", tasks=3).select("k", "heavy")._jdf.queryExecution().analyzed().toString()
+    # each read of the rows goes through the cut into tasks
+    assert plan.count("LogicalRDD") == plan.count("RepartitionByExpression") > 0

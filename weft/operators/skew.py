@@ -105,7 +105,7 @@ def per_key_counts(df: DataFrame, key: str, distinct_of: str, heavy_share: float
         .groupBy("task", "k").agg(F.sum("n").alias("n_rows"), F.count("v").alias("n_distinct"))
     )
     whole = sum(plan.loads)
-    totals = rows.groupBy("k").agg(F.count("*").alias("key_rows")).select("k", (F.col("key_rows") / F.lit(float(max(1, whole)))).alias("share"), F.explode(replicas(plan, "k")).alias("task"))
+    totals = fragments.groupBy("k").agg(F.sum("n_rows").alias("key_rows")).select("k", (F.col("key_rows") / F.lit(float(max(1, whole)))).alias("share"), F.explode(replicas(plan, "k")).alias("task"))
     return (
         fragments.join(totals, ["k", "task"])
         .groupBy("k").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_distinct").alias("n_distinct"), F.max("share").alias("share"))
