@@ -130,3 +130,16 @@ def test_match_lists_have_a_row_for_every_reference_record(spark, small):
         filter (round(0.5 * (name_jaro + address_jaro), 9) >= 0.8), '') matched_entity_ids
         from q left join cand c on c.query_id = q.entity_id group by q.entity_id"""
     agree(spark, small, queries.match_lists, sql)
+
+
+def test_model_scores_every_candidate_with_the_default_settings(spark, small, monkeypatch):
+    fit, asked = model.fit_model, []
+
+    def few_trees(rows, config):
+        asked.append(config)
+        return fit(rows, LinkConfig(trees=1, depth=2))
+
+    monkeypatch.setattr(model, "fit_model", few_trees)
+    scored = queries.model_score(spark, small).select("query_id", "target_source", "target_id").collect()
+    assert asked == [LinkConfig()]
+    assert sorted(map(tuple, scored)) == rows(queries.candidate_topk(spark, small).select("query_id", "target_source", "target_id"))
