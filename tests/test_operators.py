@@ -2,10 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tests.oracle_check import agree
 from weft.config import FEATURES, LinkConfig
 from weft.operators import blocking, evaluation, features, lists, model, records, signatures, survival
-from weft.plans import oracle, queries
+from weft.plans import queries
 
 RECORD = "entity_id string, business_name string, business_address string, country string"
 
@@ -43,10 +42,18 @@ def test_ranking_keeps_ties_in_order(spark):
 
 
 def test_truth_is_distinct(spark):
-    truth = spark.createDataFrame([("S1-1", "S2-1,S2-1,,S3-2"), ("S1-1", "S2-1"), ("S1-2", ""), ("S1-3", None)], "source1_entity_id string, matched_entity_ids string")
+    truth = spark.createDataFrame([("S1-1", "S2-1, S2-1,, ,S3-2 "), (" S1-1", "S2-1"), ("S1-2", ""), ("S1-3", None)], "source1_entity_id string, matched_entity_ids string")
     assert rows(features.truth_pairs(truth)) == [("S1-1", "S2-1"), ("S1-1", "S3-2")]
 
 
+def test_an_unknown_split_is_refused(spark):
+    q = spark.createDataFrame([(f"S1-{i}",) for i in range(300)], "entity_id string")
+    parts = {split: set(rows(features.split_queries(q, 8, 2, split).select("entity_id"))) for split in features.SPLITS}
+    assert parts["train"] | parts["validation"] == parts["sample"] and not parts["train"] & parts["validation"]
+    with pytest.raises(ValueError, match="unknown split"):
+        features.split_queries(q, 8, 2, "test")
+
+
 def test_entity_scores(spark):
     def one(truth, predicted, hits):
         return spark.range(1).select(evaluation.entity_score(F.lit(truth), F.lit(predicted), F.lit(hits)).alias("s")).first().s
@@ -125,13 +132,6 @@ def test_index_join_finds_the_same_without_a_cap(spark, small):
     assert queries.queries()["candidate_raw"](spark, small).count() >= queries.queries()["candidate_bounded_pairs"](spark, small).count() > 0
 
 
-def test_match_lists_have_a_row_for_every_reference_record(spark, small):
-    sql = f"""{oracle.CANDIDATES} select q.entity_id source1_entity_id, coalesce(string_agg(c.target_id, ',' order by c.target_source, c.target_id)
-        filter (round(0.5 * (name_jaro + address_jaro), 9) >= 0.8), '') matched_entity_ids
-        from q left join cand c on c.query_id = q.entity_id group by q.entity_id"""
-    agree(spark, small, queries.match_lists, sql)
-
-
 def test_model_scores_every_candidate_with_the_default_settings(spark, small, monkeypatch):
     fit, asked = model.fit_model, []
 

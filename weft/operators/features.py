@@ -53,9 +53,9 @@ def pair_features(candidates: DataFrame, queries: DataFrame, targets: DataFrame)
 
 
 def truth_pairs(truth: DataFrame) -> DataFrame:
-    """source1_entity_id, target_id: one row for each link of the lists, none for empty items; distinct, so labels can't fan out."""
-    items = truth.select("source1_entity_id", F.explode(F.split(F.coalesce("matched_entity_ids", F.lit("")), ",")).alias("target_id"))
-    return items.where("target_id <> ''").distinct()
+    """source1_entity_id, target_id: one row for each link of the lists, blanks around ids taken off, none for empty items; distinct, so labels can't fan out."""
+    items = truth.select(F.trim("source1_entity_id").alias("source1_entity_id"), F.explode(F.split(F.coalesce("matched_entity_ids", F.lit("")), ",")).alias("x"))
+    return items.select("source1_entity_id", F.trim("x").alias("target_id")).where("target_id <> ''").distinct()
 
 
 def labelled(features: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -69,8 +69,13 @@ def bucket(entity_id: Column) -> Column:
     return F.conv(F.substring(F.md5(entity_id), 1, 8), 16, 10).cast("long") % 100
 
 
-def split_queries(queries: DataFrame, train_percent: int, validation_percent: int) -> DataFrame:
-    """The sampled queries with split, train or validation, by the bucket of their id."""
+SPLITS = ("train", "validation", "sample")
+
+
+def split_queries(queries: DataFrame, train_percent: int, validation_percent: int, split: str = "sample") -> DataFrame:
+    """The queries of a split with their part, train or validation, by the bucket of their id. sample is both; another split is a ValueError."""
+    if split not in SPLITS:
+        raise ValueError(f"unknown split {split!r}; there are {', '.join(SPLITS)}")
     b = bucket(F.col("entity_id"))
     part = F.when(b < train_percent, "train").when(b < train_percent + validation_percent, "validation")
-    return queries.withColumn("split", part).where("split is not null")
+    return queries.withColumn("split", part).where("split is not null" if split == "sample" else F.col("split") == split)

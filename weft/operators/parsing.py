@@ -148,12 +148,13 @@ def parse_lines(df: DataFrame, line: str, columns: list[str], keep: list[str]) -
 
 @F.pandas_udf(IntegerType())
 def _quote_edits(shapes: pd.Series) -> pd.Series:
-    return shapes.map(lambda s: least_edits(s.replace('"', "q").replace("\t", "t"), 0)[0])
+    # a value without a quote, whose shape is null, reads as it is
+    return shapes.map(lambda s: least_edits(s.replace('"', "q").replace("\t", "t"), 0)[0] if s else 0)
 
 
 def quote_edits(value: Column) -> Column:
     """How many quotes must be put into or taken out of a value so that it reads; 0: it is well quoted. Only the shape goes to Python."""
-    return _quote_edits(F.regexp_replace(F.coalesce(value, F.lit("")), '[^"\t]+', "x"))
+    return _quote_edits(F.when(value.contains('"'), F.regexp_replace(value, '[^"\t]+', "x")))
 
 
 def bad_id(value: Column, prefix: Column) -> Column:
@@ -195,19 +196,22 @@ def check_ids(records: DataFrame, prefix: str) -> DataFrame:
     return records.where(bad_id(F.col("entity_id"), F.lit(prefix))).select(F.coalesce("entity_id", F.lit("")).alias("entity_id"), F.lit("entity_id").alias("reason"))
 
 
+def address_reason(value: Column) -> Column:
+    """Why an address, as one field, breaks the format; null if it doesn't."""
+    address = F.coalesce(value, F.lit(""))
+    one_field = address.rlike('(?s)^"(?:[^"]++|"")*+"\\z')
+    content = F.when(one_field, F.replace(F.substr(address, F.lit(2), F.length(address) - 2), F.lit('""'), F.lit('"'))).otherwise(address)
+    return F.when(quote_edits(value) > 0, "quoting").when(bad_content(content, one_field), "business_address")
+
+
 def check_addresses(records: DataFrame) -> DataFrame:
     """entity_id and reason of loaded records whose business_address breaks the rules of quoting or content, taken as one field.
 
     A value in correct quotes is judged by its content, in which tabs are allowed. Null and empty addresses are valid. Rows that
     come several times give several equal rows here.
     """
-    address = F.coalesce(F.col("business_address"), F.lit(""))
-    rows = records.select("entity_id", address.alias("a"), quote_edits(F.col("business_address")).alias("q"))
-    quoted = F.col("a").startswith('"')
-    one_field = quoted & F.col("a").rlike('(?s)^"(?:[^"]++|"")*+"\\z')
-    content = F.when(one_field, F.expr("replace(substring(a, 2, length(a) - 2), '\"\"', '\"')")).otherwise(F.col("a"))
-    reason = F.when(F.col("q") > 0, "quoting").when(bad_content(content, one_field), "business_address")
-    return rows.select(F.coalesce("entity_id", F.lit("")).alias("entity_id"), reason.alias("reason")).where("reason is not null")
+    checked = records.select(F.coalesce("entity_id", F.lit("")).alias("entity_id"), address_reason(F.col("business_address")).alias("reason"))
+    return checked.where("reason is not null")
 
 
 def failures(lines: DataFrame, source1: DataFrame, source2: DataFrame) -> DataFrame:
@@ -226,5 +230,5 @@ def valid_source1(records: DataFrame) -> DataFrame:
 
 
 def valid_source2(records: DataFrame) -> DataFrame:
-    """Records of source 2 that have no row with a broken address."""
-    return records.join(check_addresses(records).select("entity_id").distinct(), "entity_id", "left_anti")
+    """Rows of source 2 whose address isn't broken; rows of one entity_id have the same values, so no join is needed."""
+    return records.where(address_reason(F.col("business_address")).isNull())

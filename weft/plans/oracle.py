@@ -80,8 +80,9 @@ cand as (select query_id, target_source, target_id, score_micro / 1e6 block_scor
   from (select *, row_number() over (partition by query_id, target_source order by
     round(score_micro / 1e6 + 7.0 * greatest(name_jaro, address_jaro) + 2.0 * (name_jaro + address_jaro), 6) desc, exact_hits desc, target_id) rk from scored)
   where rk <= {CONFIG.max_candidates_per_source})"""
-TRUTH = "truth as (select distinct source1_entity_id, x target_id from (select source1_entity_id, unnest(string_split(coalesce(matched_entity_ids, ''), ',')) x from train_matches) where x <> '')"
-LABELLED = "lq as (select * from q where entity_id in (select source1_entity_id from train_matches))"
+# ids are compared as text; lists are separated by commas, sometimes with blanks
+TRUTH = "truth as (select distinct trim(source1_entity_id, ' ') source1_entity_id, trim(x, ' ') target_id from (select source1_entity_id, unnest(string_split(matched_entity_ids, ',')) x from train_matches) where trim(x, ' ') <> '')"
+LABELLED = "lq as (select * from q where entity_id in (select trim(source1_entity_id, ' ') from train_matches))"
 
 BOTH = f"with {SOURCES}, {_signatures('qs', 'q')}, {_signatures('ts', 't')}, {_index()}, {RAW}"
 CANDIDATES = f"{BOTH}, {SHORT}, {TOP}, {TRUTH}, {LABELLED}"
@@ -206,8 +207,8 @@ def oracle_sql() -> dict[str, str]:
             from tc left join pr on pr.query_id = tc.query_id group by all) select count(*) entities, round(avg({ENTITY}), 6) macro_f05 from per""",
         "threshold_sweep": f"{SWEEP} select round(threshold, 6) threshold, round(macro_f05, 6) macro_f05 from sweep",
         "threshold_best": f"{SWEEP} select round(threshold, 6) threshold, round(macro_f05, 6) macro_f05 from sweep order by round(sweep.macro_f05, 9) desc, sweep.threshold limit 1",
-        "match_lists": f"""{SCORED} select lq.entity_id source1_entity_id, coalesce(string_agg(pr.target_id, ',' order by pr.target_source, pr.target_id) filter (probability >= 0.8), '') matched_entity_ids
-            from lq left join pr on pr.query_id = lq.entity_id group by lq.entity_id""",
+        "match_lists": f"""{CANDIDATES} select q.entity_id source1_entity_id, coalesce(string_agg(c.target_id, ',' order by c.target_source, c.target_id)
+            filter (round(0.5 * (name_jaro + address_jaro), 9) >= 0.8), '') matched_entity_ids from q left join cand c on c.query_id = q.entity_id group by q.entity_id""",
         "candidate_lists": f"""{CANDIDATES} select q.entity_id source1_entity_id, coalesce(string_agg(c.target_id, ',' order by c.target_source, candidate_rank), '') candidate_entity_ids
             from q left join cand c on c.query_id = q.entity_id group by q.entity_id""",
         "validate_id_lists": VALIDATE,

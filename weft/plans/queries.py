@@ -49,7 +49,7 @@ def _truth(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _labelled_queries(queries: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    return queries.join(table(spark, folder, "train_matches").select(F.col("source1_entity_id").alias("entity_id")), "entity_id", "left_semi")
+    return queries.join(table(spark, folder, "train_matches").select(F.trim("source1_entity_id").alias("entity_id")), "entity_id", "left_semi")
 
 
 def _scored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
