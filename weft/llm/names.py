@@ -63,10 +63,21 @@ def sound(word: str) -> str:
     return _DOUBLE.sub(r"\1", w[:1] + w[1:].replace("h", ""))
 
 
-_PETS: dict[str, set[str]] = {}
+_INNER_H = re.compile(r"(?<=[^\n])h")
+
+
+def sounds(words: list[str]) -> list[str]:
+    """`sound` of each word, none of which holds a line break, in one pass over all."""
+    if not words:
+        return []
+    text = "\n".join(words).replace("ph", "f").replace("ee", "i").replace("oo", "u").translate(_SOUNDS)
+    return _DOUBLE.sub(r"\1", _INNER_H.sub("", text)).split("\n")
+
+
+PETS: dict[str, set[str]] = {}
 for _entry in PET_FORMS.split("|"):
     for _form in _entry.split():
-        _PETS.setdefault(sound(_form), set()).add(sound(_entry.split()[0]))
+        PETS.setdefault(sound(_form), set()).add(sound(_entry.split()[0]))
 #: Abbreviations of trade words; the one that is a word of its own is left out.
 _STEMS = {t[:n] for t in TRADE if len(t) > 4 for n in range(4, len(t))} - {"engine"}
 
@@ -157,7 +168,7 @@ def alike(a: str, b: str) -> float:
 def same_given(a: str, b: str) -> bool:
     """Whether two words can be forms of one given name."""
     x, y = sound(a), sound(b)
-    return x == y or not _PETS.get(x, {x}).isdisjoint(_PETS.get(y, {y}))
+    return x == y or not PETS.get(x, {x}).isdisjoint(PETS.get(y, {y}))
 
 
 #: What an initial counts for.
@@ -177,13 +188,13 @@ def word_score(full: str, typed: str) -> float:
             return max(score, 0.9 if len(y) >= 4 or len(typed) >= 4 else 0.8)
         if len(y) >= 5:
             # a truncated word with a slip in it
-            score = max(score, 0.9 * alike(full[: len(typed)], typed) if len(typed) + 2 < len(full) else 0.0)
+            score = max(score, 0.9 * lcs(full[: len(typed)], typed) / len(typed) if len(typed) + 2 < len(full) and full[0] == typed[0] else 0.0)
     if len(typed) == 1 and full[:1] == typed:
         return INITIAL
     return score
 
 
-def _options(core: tuple[str, ...]) -> Iterator[tuple[str, int, int]]:
+def options(core: tuple[str, ...]) -> Iterator[tuple[str, int, int]]:
     """Words of a core and joins of two or three neighbours, as (word, first, last)."""
     for i, a in enumerate(core):
         yield a, i, i
@@ -210,7 +221,7 @@ def compare(reference: Name, typed: Name) -> tuple[float, float, float, float]:
         main, taken = 1.0, (i, i)
     else:
         size = len(word)
-        for option, a, b in _options(typed.core):
+        for option, a, b in options(typed.core):
             length = len(option)
             if length < 3 or (b > a and abs(length - size) > 2):
                 continue
@@ -239,19 +250,24 @@ def compare(reference: Name, typed: Name) -> tuple[float, float, float, float]:
             seconds.append(1.0)
             others.remove(r)
             continue
-        choice = max(_options(tuple(others)), key=lambda o: word_score(r, o[0]))
+        choice = max((o for o in options(tuple(others)) if o[1] == o[2] or abs(len(o[0]) - len(r)) <= 2), key=lambda o: word_score(r, o[0]))
         value = word_score(r, choice[0])
         seconds.append(value)
         if value >= 0.55:
             del others[choice[1] : choice[2] + 1]
     second = sum(seconds) / len(seconds) if seconds else -1.0
-    trade = -1.0
-    if reference.trade and typed.trade:
-        hits = [max(1.0 if r.startswith(t) or t.startswith(r) else 0.9 if abbreviates(t, r) else alike(r, t) for t in typed.trade) for r in reference.trade]
-        trade = max(hits) if len(typed.trade) < len(reference.trade) else sum(hits) / len(hits)
+    trade = compare_trades(reference.trade, typed.trade)
     return main, second, trade, sum(map(len, others)) / whole
 
 
+def compare_trades(reference: tuple[str, ...], typed: tuple[str, ...]) -> float:
+    """How well the words of a reference's trade are found among typed ones; -1 where one side has none."""
+    if not reference or not typed:
+        return -1.0
+    hits = [max(1.0 if r.startswith(t) or t.startswith(r) else 0.9 if abbreviates(t, r) else alike(r, t) for t in typed) for r in reference]
+    return max(hits) if len(typed) < len(reference) else sum(hits) / len(hits)
+
+
 def abbreviates(short: str, word: str) -> bool:
     """Whether a word of three letters or more has the start of another, or its first letter and only letters of it in order."""
     return len(short) >= 3 and (short[:3] == word[:3] or (short[0] == word[0] and lcs(word, short) == len(short)))
@@ -278,54 +294,3 @@ def strength(scores: tuple[float, float, float, float]) -> float:
     """One number by which the matches of one typed name are ranked."""
     main, second, trade, left = scores
     return main + max(second, 0.5) + 0.3 * max(trade, 0.5) - left
-
-
-def _pair_keys(main: str, other: str) -> set[str]:
-    """Keys of the telling word's sounds with the other word's beginning or end: for a slip late in it, early in it, or in its middle."""
-    if len(other) < 2:
-        return {f"i{main[:5]}|{other}", f"j{main[-7:]}|{other}"}
-    o, end = other[:4], other[-3:]
-    return {"p" + "|".join(sorted((main[:4], o))), f"s{main[0]}{main[-5:]}|{o}", f"w{main[:3]}{main[-3:]}|{o}", f"r{main[-6:]}|{end}", f"v{main[:4]}|{end}"}
-
-
-def reference_keys(name: Name) -> set[str]:
-    """Keys of a reference name, whose telling word comes first: that word whole, how it begins, its long suffix, and parts of it with another word.
-
-    Suffixes that many words share are used only with a part of another word; the long ones alone are for typed names of one word.
-    """
-    if not name.core:
-        return set()
-    main = sound(name.core[0])
-    out = {f"f{main}", f"h{main[:8]}", f"t{main[-8:]}"}
-    for other in map(sound, name.core[1:]):
-        # for initials too, and for abbreviations of which three sounds are left
-        out |= _pair_keys(main, other) | _pair_keys(main, other[:1]) | {"p" + "|".join(sorted((main[:4], other[:3])))}
-    return out
-
-
-def typed_keys(name: Name) -> set[str]:
-    """The same keys of a typed name, each of whose words, or two neighbouring ones written as one, may be the telling one.
-
-    Pet forms are sought under the full forms too. Words are sought whole too, and by their long parts if it is the only one or very long.
-    """
-    sounds = [sound(w) for w in name.core]
-    joined = [sound(a + b) for a, b in zip(name.core, name.core[1:], strict=False)]
-    if len(sounds) == 2:
-        joined.append(sound(name.core[1] + name.core[0]))
-    out = {f"f{s}" for s in (*sounds, *joined) if len(s) >= 3}
-    for s in sounds:
-        # a word so long may be two written as one
-        if len(sounds) == 1 or len(s) >= 12:
-            out |= {f"h{s[:8]}", f"t{s[-8:]}"}
-    words = [(s, i, i) for i, s in enumerate(sounds)]
-    if len(sounds) > 2:
-        words += [(s, i, i + 1) for i, s in enumerate(joined)]
-    for main, first, last in words:
-        if len(main) < 4:
-            continue
-        for i, other in enumerate(sounds):
-            if not first <= i <= last:
-                out |= _pair_keys(main, other)
-                for full in _PETS.get(other, ()):
-                    out |= _pair_keys(main, full)
-    return out

@@ -154,9 +154,14 @@ def encoder(path: str = DEFAULT_VOCABULARY) -> Encoder:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The rows in as many even parts as there are cores, if the input has fewer (a few large files leave most cores idle)."""
+    """The rows in as many even parts as there are cores, if the input is a scan of less than half as many (a few files leave most cores idle).
+
+    Other inputs, whose number of parts is known only when they run, are returned as they are.
+    """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     parts = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
+    return df.repartition(parts) if 2 * df.rdd.getNumPartitions() <= parts else df
 
 
 def encode_corpus(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
