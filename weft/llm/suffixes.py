@@ -107,7 +107,10 @@ def keys(texts: list[str], typed: bool) -> tuple[np.ndarray, np.ndarray, np.ndar
     both = pair & (length[t] >= 3) & (length[x] >= 3)
     add(both, 3, at, a, b)
     add(both & (trade[t] > 0), 4, at, a, b, trade[t], kept=True)
+    # the longer one of the telling word, which comes first in a reference name
     longer = ~itself & (length[t] > START) & (length[x] >= 3)
-    add(longer, 8, at, start(START + 1)[t], start(START)[x], kept=True)
+    if not typed:
+        longer &= t == begins[at]
+    add(longer, 8, at, start(START + 1)[t], start(3)[x], kept=True)
     places, made, kept = (np.concatenate(parts) for parts in ([p for p, _, _ in out], [k for _, k, _ in out], [np.full(len(p), keep) for p, _, keep in out]))
     return places, made, kept
