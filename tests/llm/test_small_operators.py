@@ -178,3 +178,12 @@ def test_undo_inverts_every_pair():
     for read_as in ("cp1252", "latin-1", "cp437", "mac_roman", "koi8-r"):
         for text in ("é", "ß€", "Привет"):
             assert mojibake.undo(garble(text, "utf-8", read_as), read_as, "utf-8") == (text, 0, 0)
+
+
+def test_labels_are_the_same_if_suspect_stretches_are_too_many_to_send(spark, monkeypatch):
+    data = [(i, CLEAN[i % len(CLEAN)] + f" {i}") for i in range(300)] + [(900 + i, garble(CLEAN[i], "utf-8", "cp1252")) for i in range(3)]
+    docs = spark.createDataFrame(data, DOCS)
+    sent = rows(mojibake.find_garbled(docs))
+    monkeypatch.setattr(mojibake, "FEW", 0)
+    assert mojibake.train(docs).known is None
+    assert rows(mojibake.find_garbled(docs)) == sent and len(sent) == 3

@@ -5,6 +5,7 @@ one for characters that were replaced and lost. What the model sees are the stre
 stands before and after each. The clean state draws characters as the corpus does; a pair's state draws characters as the corpus
 does and passes them through the pair, so a stretch is as likely in it as its inverse transform is in clean text. The emissions are
 trained on all documents by Viterbi training: each round labels the corpus and counts the characters of what was labelled clean.
+Equal stretches are measured once, and equal sequences of stretches labelled once, however many documents hold them.
 """
 
 from __future__ import annotations
@@ -16,11 +17,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.tokens import spread
+from weft.session import cut
 
 #: Encodings as which UTF-8 is read by mistake; then, for other encodings, those as which each is read.
 UTF8_READ_AS = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1253", "cp1254", "cp1257", "iso8859-2", "iso8859-15", "cp437", "cp850", "cp852", "cp866", "mac_roman", "koi8-r", "mac_cyrillic", "cp932", "gbk", "big5", "cp949")
@@ -172,11 +176,30 @@ def stretches(text: str) -> list[tuple[int, int, Seen]]:
     return [(a, b, (sort, kind(text[a - 1 : a]), text[a:b], kind(text[b : b + 1]))) for a, b in (m.span() for m in RUNS.finditer(text))]
 
 
+STATES = states()
+NUMBERS = {state: i for i, state in enumerate(STATES)}
+
+
+def inverses(run: str) -> list[tuple[int, str, int, int]]:
+    """Of each garbled state that fits a stretch: its number, the stretch with the state undone, how many characters don't fit, and how many were cut short."""
+    out = []
+    for number, state in enumerate(STATES):
+        text, misfits, short = run, 0, 0
+        for step, (read_as, written_in) in enumerate(state):
+            text, bad, cut_off = undo(text, read_as, written_in)
+            misfits, short = misfits + bad, short + cut_off
+            if text == run or (step == 0 and bad and len(state) > 1) or 2 * bad > len(run):
+                break
+        else:
+            out.append((number, text, misfits, short))
+    return out
+
+
 @dataclass
 class Model:
     """counts: of each sort of text, character and neighbourhood in clean text; totals: characters of each sort of text.
 
-    enter, leave: log odds of changes of state. unsure: what is added to enter for pairs of one-byte encodings, where, unlike in
+    known: the gains of all different stretches of the corpus, if they are few enough to be sent along. enter, leave: log odds of changes of state. unsure: what is added to enter for pairs of one-byte encodings, where, unlike in
     UTF-8, any text has an inverse.
     """
 
@@ -185,8 +208,8 @@ class Model:
     enter: float
     leave: float
     unsure: float
+    known: dict | None = field(default=None, repr=False)
     memory: dict = field(default_factory=dict, repr=False)
-    clean: set = field(default_factory=set, repr=False)
     alone: dict = field(default_factory=dict, repr=False)
     anywhere: dict = field(default_factory=dict, repr=False)
 
@@ -197,7 +220,7 @@ class Model:
                 self.anywhere[c, around] = self.anywhere.get((c, around), 0) + n
 
     def __getstate__(self) -> dict:
-        return {"counts": self.counts, "totals": self.totals, "enter": self.enter, "leave": self.leave, "unsure": self.unsure, "memory": {}, "clean": set(), "alone": {}, "anywhere": {}}
+        return {"counts": self.counts, "totals": self.totals, "enter": self.enter, "leave": self.leave, "unsure": self.unsure, "known": self.known, "memory": {}, "alone": {}, "anywhere": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -219,49 +242,49 @@ class Model:
         return whole
 
     def gains(self, seen: Seen) -> dict[State | str, float]:
-        """By garbled state, how much likelier than clean a stretch is, where that is more than -30; empty if no state is likelier."""
-        known = self.memory.get(seen)
-        if known is None:
-            sort, before, run, after = seen
-            clean = self.likely(sort, before, run, after)
-            known = {}
-            for state in states():
-                text, misfits, short = run, 0, 0
-                for step, (read_as, written_in) in enumerate(state):
-                    text, bad, cut = undo(text, read_as, written_in)
-                    misfits, short = misfits + bad, short + cut
-                    if text == run or (step == 0 and bad and len(state) > 1) or 2 * bad > len(run):
-                        misfits = -1
-                        break
-                if misfits >= 0:
-                    gain = self.likely(sort, before, text, after) + MISFIT * misfits + CUT_SHORT * short - clean
-                    if gain > -30:
-                        known[state] = gain
-            if "\ufffd" in run:
-                known[LOST] = sum(REPLACED if c == "\ufffd" else self.likely(sort, "l", c, "l") for c in run) - clean
+        """By garbled state, how much likelier than clean a stretch is, where that is more than -30."""
+        found = self.memory.get(seen) if self.known is None else self.known.get(seen)
+        if found is None:
+            found = self.measure(seen, inverses(seen[2]))
             if len(self.memory) > 200_000:
                 self.memory.clear()
-                self.clean.clear()
-            if len(run) < 100:
-                self.memory[seen] = known
-                if all(gain <= 0 for gain in known.values()):
-                    self.clean.add(seen)
-        return known
+            if len(seen[2]) < 100:
+                self.memory[seen] = found
+        return found
+
+    def suspect(self, seen: Seen) -> bool:
+        """Whether a stretch, taken by itself, is likelier garbled than clean."""
+        return any(gain > 0 for gain in self.gains(seen).values())
+
+    def measure(self, seen: Seen, undone: list[tuple[int, str, int, int]]) -> dict[State | str, float]:
+        """The gains of a stretch, given its inverses."""
+        sort, before, run, after = seen
+        clean = self.likely(sort, before, run, after)
+        found: dict[State | str, float] = {}
+        for number, text, misfits, short in undone:
+            gain = self.likely(sort, before, text, after) + MISFIT * misfits + CUT_SHORT * short - clean
+            if gain > -30:
+                found[STATES[number]] = gain
+        if "\ufffd" in run:
+            found[LOST] = sum(REPLACED if c == "\ufffd" else self.likely(sort, "l", c, "l") for c in run) - clean
+        return found
 
     def label(self, text: str | None, runs: list[tuple[int, int, Seen]] | None = None) -> list[tuple[int, int, State | str]]:
         """The stretches of a text whose most likely state isn't the clean one, with that state, from Viterbi's path."""
         if not text or text.isascii():
             return []
         found = stretches(text) if runs is None else runs
-        if self.clean.issuperset(seen for _, _, seen in found):
-            return []
-        runs = [(a, b, self.gains(seen)) for a, b, seen in found]
-        if all(gain <= 0 for _, _, more in runs for gain in more.values()):
+        if not any(self.suspect(seen) for _, _, seen in found):
             return []
+        path = self.path([self.gains(seen) for _, _, seen in found])
+        return [(a, b, state) for (a, b, _), state in zip(found, path, strict=True) if state is not None]
+
+    def path(self, gains: list[dict[State | str, float]]) -> list[State | str | None]:
+        """The most likely state of each stretch of a text, None for the clean one, from the gains of all in order: Viterbi's path."""
         # relative to the clean state, whose likelihood is 0 at every step
         best: dict[State | str | None, float] = {None: 0.0}
         back: list[dict[State | str | None, State | str | None]] = []
-        for _, _, more in runs:
+        for more in gains:
             leader, top = max(((s, v + (self.leave if s is not None else 0.0)) for s, v in best.items()), key=lambda x: x[1])
             new: dict[State | str | None, float] = {None: top}
             source: dict[State | str | None, State | str | None] = {None: leader}
@@ -272,16 +295,18 @@ class Model:
             back.append(source)
         state = max(best, key=lambda s: best[s] + (self.leave if s is not None else 0.0))
         out = []
-        for (a, b, _), source in zip(reversed(runs), reversed(back), strict=True):
-            if state is not None:
-                out.append((a, b, state))
+        for source in reversed(back):
+            out.append(state)
             state = source[state]
         return out[::-1]
 
-    def repair(self, text: str) -> tuple[str, bool]:
-        """The text with each labelled stretch put through its state's inverse, and whether nothing of it was lost."""
+    def repair(self, text: str | None) -> tuple[str, bool] | None:
+        """The text with each labelled stretch put through its state's inverse, and whether nothing of it was lost; None if none is labelled."""
+        labelled = self.label(text)
+        if not labelled:
+            return None
         out, at, whole = [], 0, True
-        for a, b, state in self.label(text):
+        for a, b, state in labelled:
             new = text[a:b]
             if state == LOST:
                 whole = False
@@ -294,38 +319,131 @@ class Model:
         return "".join([*out, text[at:]]), whole
 
 
-def _count(frames: Iterator[pd.DataFrame], model: Model | None) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        counts: Counter[tuple[str, str, str]] = Counter()
-        met: Counter[Seen] = Counter()
-        for text in frame.iloc[:, 0]:
-            if not text:
-                continue
-            counts[sort_of(text), "", ""] += len(text)
-            if text.isascii():
-                continue
-            runs = stretches(text)
-            labelled = {a for a, _, _ in model.label(text, runs)} if model else ()
-            met.update(seen for a, _, seen in runs if a not in labelled)
-        for (sort, before, run, after), n in met.items():
-            for c, around in surroundings(before, run, after):
-                counts[sort, c, around] += n
-        if counts:
-            yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["sort", "c", "around", "n"])
+def collect_stretches(documents: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """What training looks at, from one pass over all texts.
+
+    First id, sort, before, run, after and n of all different stretches; then ids and n of all different sequences of stretches of a
+    text, in order; then the number of characters of each sort of text.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sequences: Counter[tuple[Seen, ...]] = Counter()
+            totals: Counter[str] = Counter()
+            for value in frame.iloc[:, 0]:
+                if value:
+                    totals[sort_of(value)] += len(value)
+                    if not value.isascii():
+                        sequences[tuple(seen for _, _, seen in stretches(value))] += 1
+            met: Counter[Seen] = Counter()
+            rows = []
+            for sequence, n in sequences.items():
+                for seen in sequence:
+                    met[seen] += n
+                rows.append((None, None, None, None, [_identify(seen) for seen in sequence], n))
+            rows += [(*seen, [_identify(seen)], n) for seen, n in met.items()]
+            rows += [(sort, "", "", "", [], n) for sort, n in totals.items()]
+            if rows:
+                yield pd.DataFrame(rows, columns=["sort", "before", "run", "after", "ids", "n"])
+
+    kinds = "sort string, before string, run string, after string, ids array<bigint>, n bigint"
+    rows = cut(spread(documents.select(text)).mapInPandas(run, kinds).groupBy("sort", "before", "run", "after", "ids").agg(F.sum("n").alias("n")))
+    totals = {r.sort: r.n for r in rows.where("run = ''").collect()}
+    return rows.where("run <> ''").select(F.col("ids")[0].alias("id"), "sort", "before", "run", "after", "n"), rows.where("run is null").select("ids", "n"), totals
+
+
+def _identify(seen: Seen) -> int:
+    return xxhash.xxh64_intdigest("\x00".join(seen)) - (1 << 63)
+
+
+#: How many different stretches may be sent to every task; with more of them each task measures what it meets, to the same result.
+FEW = 100_000
+
+
+def _measured(stretches_: DataFrame, model: Model) -> dict[Seen, dict[State | str, float]] | None:
+    """The gains of all different stretches; None if they are more than FEW."""
+    if stretches_.limit(FEW + 1).count() > FEW:
+        return None
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for seen in frame[["sort", "before", "run", "after"]].itertuples(index=False, name=None):
+                gains = model.measure(seen, inverses(seen[2]))
+                rows.append((*seen, [-1 if s == LOST else NUMBERS[s] for s in gains], list(gains.values())))
+            if rows:
+                yield pd.DataFrame(rows, columns=["sort", "before", "run", "after", "states", "gains"])
+
+    rows = stretches_.mapInPandas(run, "sort string, before string, run string, after string, states array<int>, gains array<double>").collect()
+    return {(r.sort, r.before, r.run, r.after): {LOST if s < 0 else STATES[s]: g for s, g in zip(r.states, r.gains, strict=True)} for r in rows}
+
+
+def _labelled(sequences: DataFrame, stretches_: DataFrame, model: Model) -> DataFrame:
+    """id and m, how often each stretch is labelled with a garbled state."""
+    if model.known is None:
+        # too many for every task: the stretches of each sequence come to it
+        listed = sequences.select(F.monotonically_increasing_id().alias("s"), "n", F.posexplode("ids").alias("pos", "id"))
+        seen = F.struct("pos", "id", "sort", "before", "run", "after")
+        texts = listed.join(stretches_.drop("n"), "id").groupBy("s").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(seen)).alias("l"))
+    else:
+        texts = sequences.withColumn("l", F.lit(None).cast("array<struct<pos:int,id:bigint,sort:string,before:string,run:string,after:string>>"))
+    gains = {_identify(seen): more for seen, more in (model.known or {}).items()}
+    wanted = np.array([i for i, more in gains.items() if any(g > 0 for g in more.values())], dtype=np.int64)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out: Counter[int] = Counter()
+            if model.known is None:
+                rows = [([x["id"] for x in items], [model.gains((x["sort"], x["before"], x["run"], x["after"])) for x in items], n) for items, n in zip(frame["l"], frame["n"], strict=True)]
+            else:
+                sizes = frame["ids"].map(len).to_numpy()
+                hit = np.isin(np.concatenate([*frame["ids"], np.zeros(0, dtype=np.int64)]), wanted)
+                some = np.add.reduceat(np.append(hit, False).astype(int), np.cumsum(sizes) - sizes) > 0 if len(sizes) else []
+                chosen = frame[some]
+                rows = [(ids, [gains.get(i, {}) for i in ids.tolist()], n) for ids, n in zip(chosen["ids"], chosen["n"], strict=True)]
+            for ids, more, n in rows:
+                for i, state in zip(ids, model.path(more), strict=True):
+                    if state is not None:
+                        out[int(i)] += n
+            if out:
+                yield pd.DataFrame({"id": list(out), "m": list(out.values())})
+
+    return texts.select("n", "l", *([] if model.known is None else ["ids"])).mapInPandas(run, "id long, m long").groupBy("id").agg(F.sum("m").alias("m"))
+
+
+def _count(stretches_: DataFrame) -> dict[tuple[str, str, str], int]:
+    """How often each character occurs in each neighbourhood and sort of text, from stretches and how often (n) each occurs."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            counts: Counter[tuple[str, str, str]] = Counter()
+            for sort, before, text, after, n in frame.itertuples(index=False, name=None):
+                for c, around in surroundings(before, text, after):
+                    counts[sort, c, around] += n
+            if counts:
+                yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["sort", "c", "around", "n"])
+
+    rows = stretches_.select("sort", "before", "run", "after", "n").mapInPandas(run, "sort string, c string, around string, n long").groupBy("sort", "c", "around").agg(F.sum("n").alias("n"))
+    return {(row.sort, row.c, row.around): row.n for row in rows.collect()}
 
 
 def train(documents: DataFrame, text: str = "text", rounds: int = 3, first: tuple[float, ...] = (-3.0, -1.0, -3.0), last: tuple[float, ...] = (-6.0, -2.0, -3.0)) -> Model:
-    """Fit the emissions on all documents. The counts that reach the driver have at most 162 rows for each code point of Unicode.
+    """Fit the emissions on all documents, which are read once: every round works on the different stretches and their sequences.
 
     rounds: labelings of the corpus from which clean text is counted anew. first, last: enter, leave and unsure of the model while
-    counts still hold garbled text, and at the end. An empty table gives a model that finds everything clean.
+    counts still hold garbled text, and at the end. The counts that reach the driver have at most 162 rows for each code point of
+    Unicode, the gains of different stretches at most FEW. An empty table gives a model that finds everything clean.
     """
-    model = None
-    for _ in range(rounds + 1):
-        rows = spread(documents.select(text)).mapInPandas(lambda frames, m=model: _count(frames, m), "sort string, c string, around string, n long").groupBy("sort", "c", "around").agg(F.sum("n").alias("n")).collect()
-        counts = {(row.sort, row.c, row.around): row.n for row in rows if row.c}
-        model = Model(counts, {row.sort: row.n for row in rows if not row.c}, *first)
-    return Model(model.counts, model.totals, *last)
+    seen, sequences, totals = collect_stretches(documents, text)
+    counts = _count(seen)
+    for _ in range(rounds):
+        model = Model(counts, totals, *first)
+        model.known = _measured(seen, model)
+        left = seen.join(_labelled(sequences, seen, model), "id", "left").withColumn("n", F.col("n") - F.coalesce("m", F.lit(0)))
+        counts = _count(left.where("n > 0"))
+    model = Model(counts, totals, *last)
+    model.known = _measured(seen, model)
+    return model
 
 
 def find_garbled(documents: DataFrame, key: str = "doc_id", text: str = "text", model: Model | None = None) -> DataFrame:
@@ -333,14 +451,14 @@ def find_garbled(documents: DataFrame, key: str = "doc_id", text: str = "text",
 
     repaired: the text with each such stretch put through its inverse transform; restored: whether every character came back. Null,
     empty and ASCII texts are never found; texts of any length are labelled whole; repeated rows give repeated rows. Columns other
-    than the two are not read.
+    than the two are not read. model: one that was trained on these documents.
     """
     model = model or train(documents, text)
     kind_of_key = documents.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [(k, *model.repair(t)) for k, t in zip(frame[key], frame[text], strict=True) if model.label(t)]
+            found = [(k, *fixed) for k, t in zip(frame[key], frame[text], strict=True) if (fixed := model.repair(t))]
             if found:
                 yield pd.DataFrame(found, columns=[key, "repaired", "restored"])
 
