@@ -24,7 +24,7 @@ def test_similarities_equal_another_engine(spark):
     pairs = [("".join(random.choices(alphabet, k=random.randint(0, 12))), "".join(random.choices(alphabet, k=random.randint(0, 12)))) for _ in range(800)]
     a, b = F.col("a"), F.col("b")
     ours = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string").select(
-        "i", similarity.jaro_winkler(a, b).alias("jw"), similarity.levenshtein_ratio(a, b).alias("lev"), similarity.char_jaccard(a, b).alias("jac")
+        "i", similarity.jaro_winkler(a, b).alias("jw"), similarity.levenshtein_ratio(a, b).alias("lev"), similarity.byte_jaccards(a, b, b, a)["second"].alias("jac")
     )
     con = duckdb.connect()
     for row in ours.collect():

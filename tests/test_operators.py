@@ -71,6 +71,40 @@ def test_sweep_equals_single_thresholds(spark):
         assert evaluation.macro_f05(counts, scored, t).first().macro_f05 == pytest.approx(sweep[t])
 
 
+def test_quantiles_equal_those_of_all_values(spark):
+    import random
+
+    random.seed(2)
+    values = [(random.choice([random.random(), 0.5, 1.0, 0.0, round(random.random(), 2)]),) for _ in range(2000)] + [(None,)]
+    frame_ = spark.createDataFrame(values, "p double")
+    points = [0.0, 0.013, 0.25, 0.5, 0.777, 0.999, 1.0]
+    want = frame_.agg(F.percentile("p", F.array(*map(F.lit, points)))).first()[0]
+    assert evaluation.quantiles(frame_, "p", points, bins=64) == pytest.approx(want)
+    assert evaluation.quantiles(frame_.limit(0), "p", points) == []
+
+
+def test_pairs_of_many_targets_are_refined(spark):
+    same = [(f"S2-{i}", "Alpha", f"Tamilia Nadurai {'x' * (i // 3 + 3)}", "US") for i in range(9)]
+    made = records.normalise_records(frame(spark, *same)).withColumn("target_source", F.lit(2))
+    config = LinkConfig(max_pair_frequency=4)
+    index = blocking.weighted_index(signatures.all_signatures(made), made, config).where("kind in ('pe', 'pt')")
+    held = {r.signature for r in index.collect()}
+    assert "ae:nadurai|ae:tamilia" not in held and "ae:nadurai|ae:tamilia|ae:xxx" in held
+    raw = blocking.retrieve_raw(made.drop("target_source"), made, config)
+    assert raw.where("query_id = 'S2-0' and target_id = 'S2-1'").count() == 1
+    assert blocking.retrieve_raw(made.drop("target_source").limit(0), made, config).count() == 0
+
+
+def test_names_of_tables(spark):
+    from weft import session
+
+    spark.range(1).createOrReplaceTempView("known_view")
+    assert session.table_exists(spark, "known_view") and not session.table_exists(spark, "unknown_view")
+    for bad in ("", "1a", "a b", "A", "a;drop table b", "../x"):
+        with pytest.raises(ValueError, match="name of a table"):
+            session.checked_name(bad)
+
+
 def test_recall_without_truth_is_one(spark):
     q = spark.createDataFrame([("S1-1",)], "entity_id string")
     none = spark.createDataFrame([], "source1_entity_id string, target_id string")

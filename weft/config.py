@@ -28,13 +28,19 @@ PAIR_WEIGHT = 16.0
 
 @dataclass(frozen=True)
 class LinkConfig:
-    """Bounds of retrieval and the split of the labelled records. max_pair_frequency: None keeps every composite signature."""
+    """Bounds of retrieval and the split of the labelled records.
+
+    max_pair_frequency: a pair of words that more targets of a country and source have is refined by third words; a pair with a third
+    word that more have is left out, as common words are. None keeps every pair as it is. blank_country: targets without a country are sought
+    by the queries of every country; by default only by those without one.
+    """
 
     train_percent: int = 8
     validation_percent: int = 2
     max_token_frequency: int = 96
     max_shape_frequency: int = 24
-    max_pair_frequency: int | None = None
+    max_pair_frequency: int | None = 12
+    blank_country: bool = False
     prefilter_candidates: int = 40
     max_candidates_per_source: int = 10
     longest_tokens: int = 12

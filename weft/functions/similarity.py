@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def as_bytes(text: Column) -> Column:
@@ -26,9 +26,24 @@ def set_jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
-def char_jaccard(a: Column, b: Column) -> Column:
-    """Jaccard of the sets of bytes; 0 if either text is empty."""
-    return F.when((a == "") | (b == ""), 0.0).otherwise(set_jaccard(F.split(as_bytes(a), ""), F.split(as_bytes(b), "")))
+def _byte_sets(texts: pd.Series) -> np.ndarray:
+    """Of each text which bytes it has."""
+    encoded = [(t or "").encode() for t in texts]
+    out = np.zeros((len(encoded), 256), dtype=bool)
+    out[np.repeat(np.arange(len(encoded)), [len(t) for t in encoded]), np.frombuffer(b"".join(encoded), dtype=np.uint8)] = True
+    return out
+
+
+@F.pandas_udf(StructType([StructField("first", DoubleType()), StructField("second", DoubleType())]))
+def byte_jaccards(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
+    """Jaccard of the sets of bytes of a and b, and of c and d; 0 if either text is empty. Null counts as empty."""
+    found = []
+    for x, y in ((a, b), (c, d)):
+        left, right = _byte_sets(x), _byte_sets(y)
+        union = (left | right).sum(axis=1)
+        empty = ~(left.any(axis=1) & right.any(axis=1))
+        found.append(np.where(empty, 0.0, (left & right).sum(axis=1) / np.maximum(union, 1)))
+    return pd.DataFrame({"first": found[0], "second": found[1]})
 
 
 def overlap(a: Column, b: Column) -> Column:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from weft.config import KIND_WEIGHTS, PAIR_WEIGHT, LinkConfig
 from weft.functions.similarity import jaro_winkler
+from weft.operators.signatures import all_signatures, triple_signatures
+from weft.session import cut
 
 INDEX_KEY = ["target_source", "country", "kind", "signature"]
 
@@ -27,10 +29,17 @@ def _kind_weight() -> Column:
     return weight
 
 
-def weighted_index(signatures: DataFrame, targets: DataFrame, config: LinkConfig = LinkConfig()) -> DataFrame:
-    """Postings that are rare enough, with weight_micro; composite ones have a fixed weight and no bound unless the config sets one.
+def hot_pairs(signatures: DataFrame, config: LinkConfig = LinkConfig()) -> DataFrame:
+    """target_source, country, signature of the composite signatures that more targets have than config.max_pair_frequency."""
+    often = signatures.where("kind = 'pe'").groupBy("target_source", "country", "signature").agg(F.count("*").alias("n"))
+    return often.where(F.col("n") > config.max_pair_frequency).drop("n") if config.max_pair_frequency is not None else often.drop("n").limit(0)
 
-    signatures: target_source, entity_id, country, kind, signature; targets: target_source, entity_id, country.
+
+def weighted_index(signatures: DataFrame, targets: DataFrame, config: LinkConfig = LinkConfig(), hot: DataFrame | None = None) -> DataFrame:
+    """Postings that are rare enough, with document_frequency (1 for composite ones) and weight_micro.
+
+    signatures: target_source, entity_id, country, kind, signature; targets: normalised records with target_source. hot: composite
+    signatures that are refined by third words, by default those of the config.
     """
     per_country = targets.groupBy("target_source", "country").agg(F.count("*").alias("country_count"))
     frequencies = document_frequencies(signatures)
@@ -40,19 +49,32 @@ def weighted_index(signatures: DataFrame, targets: DataFrame, config: LinkConfig
     ).join(per_country, ["target_source", "country"])
     weight = F.ln((F.col("country_count") + 1.0) / (F.col("document_frequency") + 0.5)) * _kind_weight()
     weights = rare.select(*INDEX_KEY, "document_frequency", F.round(weight * 1e6).cast("long").alias("weight_micro"))
-    singles = signatures.where("kind <> 'pe'").join(weights, INDEX_KEY)
-    pairs = signatures.where("kind = 'pe'").withColumns({"document_frequency": F.lit(1), "weight_micro": F.lit(int(PAIR_WEIGHT * 1e6)).cast("long")})
-    if config.max_pair_frequency is not None:
-        common = signatures.where("kind = 'pe'").groupBy(*INDEX_KEY).count().where(F.col("count") > config.max_pair_frequency)
-        pairs = pairs.join(common.drop("count"), INDEX_KEY, "left_anti")
     columns = ["target_source", "entity_id", "country", "kind", "signature", "document_frequency", "weight_micro"]
-    return singles.select(*columns).unionByName(pairs.select(*columns))
+    singles = signatures.where("kind <> 'pe'").join(weights, INDEX_KEY)
+    fixed = {"document_frequency": F.lit(1), "weight_micro": F.lit(int(PAIR_WEIGHT * 1e6)).cast("long")}
+    pairs = signatures.where("kind = 'pe'")
+    if config.max_pair_frequency is None:
+        return singles.select(*columns).unionByName(pairs.withColumns(fixed).select(*columns))
+    hot = hot_pairs(signatures, config) if hot is None else hot
+    pairs = pairs.join(hot, ["target_source", "country", "signature"], "left_anti")
+    triples = triple_signatures(targets, hot, config.longest_tokens)
+    common = triples.groupBy("target_source", "country", "signature").agg(F.count("*").alias("n")).where(F.col("n") > config.max_pair_frequency).drop("n")
+    triples = triples.join(common, ["target_source", "country", "signature"], "left_anti")
+    return singles.select(*columns).unionByName(pairs.unionByName(triples).withColumns(fixed).select(*columns))
+
+
+def query_signatures(queries: DataFrame, hot: DataFrame, config: LinkConfig = LinkConfig()) -> DataFrame:
+    """All signatures of the queries; those of pairs that are hot in a source of targets with third words too. With blank_country under '' as well."""
+    if config.blank_country:
+        queries = queries.withColumn("country", F.explode(F.array_distinct(F.array("country", F.lit("")))))
+    return all_signatures(queries, config.longest_tokens).unionByName(triple_signatures(queries, hot, config.longest_tokens))
 
 
 def raw_candidates(query_signatures: DataFrame, index: DataFrame) -> DataFrame:
     """query_id, target_source, target_id, score_micro, exact_hits, shape_hits of all pairs that share a posting.
 
-    The index is joined on 64-bit hashes of its key; the join is left to adaptive execution, which splits hot signatures.
+    The index is joined on 64-bit hashes of its key; among n different keys about n * n / 2 ** 65 pairs of keys have one hash, which
+    adds a wrong hit. The join is left to adaptive execution, which splits hot signatures.
     """
     key = F.xxhash64("country", "kind", "signature").alias("key")
     kind = F.col("kind").isin("ns", "as").cast("int").alias("is_shape")
@@ -65,30 +87,48 @@ def raw_candidates(query_signatures: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
+def retrieve_raw(queries: DataFrame, targets: DataFrame, config: LinkConfig = LinkConfig()) -> DataFrame:
+    """The raw candidates of normalised queries among normalised targets with target_source."""
+    signatures = all_signatures(targets, config.longest_tokens)
+    hot = cut(hot_pairs(signatures, config))
+    return raw_candidates(query_signatures(queries, hot, config), weighted_index(signatures, targets, config, hot))
+
+
+def retrieve(queries: DataFrame, targets: DataFrame, config: LinkConfig = LinkConfig(), texts: bool = False) -> DataFrame:
+    """The final candidates. Both sides should be written tables, as they are read several times. texts: keep what features are made of."""
+    return final_candidates(rescored(shortlist(retrieve_raw(queries, targets, config), config), queries, targets), config, texts)
+
+
 def shortlist(raw: DataFrame, config: LinkConfig = LinkConfig()) -> DataFrame:
     """The best pairs of each query and source by score, exact hits and target id."""
     order = Window.partitionBy("query_id", "target_source").orderBy(F.desc("score_micro"), F.desc("exact_hits"), "target_id")
     return raw.withColumn("pre_rank", F.row_number().over(order)).where(F.col("pre_rank") <= config.prefilter_candidates).drop("pre_rank")
 
 
+#: What the features are made of, so that candidates need no second join with their records.
+TEXTS = ["country", "q_name", "q_address", "t_name", "t_address"]
+
+
 def rescored(short: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
-    """The shortlist with name_jaro and address_jaro, which the features use again; address_jaro is 0 if either address is empty."""
-    q = queries.select(F.col("entity_id").alias("query_id"), F.col("name_norm").alias("q_name"), F.col("address_norm").alias("q_address"))
+    """The shortlist with name_jaro, address_jaro (0 if either address is empty) and the texts they come from.
+
+    Queries are joined last, so the ranking that follows finds the rows of a query together.
+    """
+    q = queries.select(F.col("entity_id").alias("query_id"), "country", F.col("name_norm").alias("q_name"), F.col("address_norm").alias("q_address"))
     t = targets.select("target_source", F.col("entity_id").alias("target_id"), F.col("name_norm").alias("t_name"), F.col("address_norm").alias("t_address"))
-    both = short.join(q, "query_id").join(t, ["target_source", "target_id"])
+    both = short.join(t, ["target_source", "target_id"]).join(q, "query_id")
     address = F.when((F.col("q_address") == "") | (F.col("t_address") == ""), 0.0).otherwise(jaro_winkler(F.col("q_address"), F.col("t_address")))
-    return both.withColumns({"name_jaro": jaro_winkler(F.col("q_name"), F.col("t_name")), "address_jaro": address}).drop("q_name", "q_address", "t_name", "t_address")
+    return both.withColumns({"name_jaro": jaro_winkler(F.col("q_name"), F.col("t_name")), "address_jaro": address})
 
 
-def final_candidates(scored: DataFrame, config: LinkConfig = LinkConfig()) -> DataFrame:
-    """The best pairs of each query and source by block score and likeness, with block_score and candidate_rank."""
+def final_candidates(scored: DataFrame, config: LinkConfig = LinkConfig(), texts: bool = False) -> DataFrame:
+    """The best pairs of each query and source by block score and likeness, with block_score and candidate_rank; with their texts if wanted."""
     block = F.col("score_micro") / 1e6
     rank_score = F.round(block + 7.0 * F.greatest("name_jaro", "address_jaro") + 2.0 * (F.col("name_jaro") + F.col("address_jaro")), 6)
     order = Window.partitionBy("query_id", "target_source").orderBy(F.desc("rank_score"), F.desc("exact_hits"), "target_id")
     ranked = scored.withColumn("rank_score", rank_score).withColumn("candidate_rank", F.row_number().over(order))
-    return ranked.where(F.col("candidate_rank") <= config.max_candidates_per_source).select(
-        "query_id", "target_source", "target_id", block.alias("block_score"), "exact_hits", "shape_hits", "candidate_rank", "name_jaro", "address_jaro"
-    )
+    columns = ["query_id", "target_source", "target_id", block.alias("block_score"), "exact_hits", "shape_hits", "candidate_rank", "name_jaro", "address_jaro"]
+    return ranked.where(F.col("candidate_rank") <= config.max_candidates_per_source).select(*columns, *(TEXTS if texts else []))
 
 
 def blocking_stats(queries: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from bisect import bisect_right
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,21 +37,52 @@ def macro_f05(counts: DataFrame, scored: DataFrame, threshold: float) -> DataFra
     return joined.select(entity_score(F.col("truth_count"), F.col("predicted"), F.col("hits")).alias("s")).agg(F.count("*").alias("entities"), F.avg("s").alias("macro_f05"))
 
 
-def thresholds(scored: DataFrame) -> DataFrame:
-    """threshold: 180 even ones from 0.10 to 0.995 and 100 quantiles from 0.50 to 0.999 of the probabilities; at most 280 different ones."""
-    even = scored.sparkSession.range(180).select((0.10 + F.col("id") * ((0.995 - 0.10) / 179)).alias("threshold"))
-    points = [0.5 + i * (0.999 - 0.5) / 99 for i in range(100)]
-    quantiles = scored.agg(F.percentile("probability", F.array(*map(F.lit, points))).alias("q")).select(F.explode("q").alias("threshold"))
-    return even.unionByName(quantiles).select(F.round("threshold", 9).alias("threshold")).where("threshold is not null").distinct()
+def quantiles(values: DataFrame, column: str, points: list[float], bins: int = 1 << 16) -> list[float]:
+    """Exact interpolated quantiles of a column of numbers from 0 to 1; none of an empty one. Nulls don't count.
+
+    Values are counted by bin, at most `bins` + 1 rows reach the driver; then only the different values of the bins that hold a wanted
+    rank, at most two for each point, are counted and put in order, each bin by itself.
+    """
+    p = values.select(F.col(column).cast("double").alias("p")).where("p is not null").withColumn("bin", F.floor(F.col("p") * bins).cast("int"))
+    sizes = sorted((r["bin"], r["n"]) for r in p.groupBy("bin").agg(F.count("*").alias("n")).collect())
+    total = sum(n for _, n in sizes)
+    if not total:
+        return []
+    starts, seen = {}, 0
+    for b, n in sizes:
+        starts[b] = seen
+        seen += n
+    places = [point * (total - 1) for point in points]
+    ranks = sorted({math.floor(x) for x in places} | {math.ceil(x) for x in places})
+    ends = [starts[b] + n for b, n in sizes]
+    held = sorted({sizes[bisect_right(ends, r)][0] for r in ranks})
+    counted = p.where(F.col("bin").isin(held)).groupBy("bin", "p").agg(F.count("*").alias("n"))
+    start = F.element_at(F.create_map(*[F.lit(x) for b in held for x in (b, starts[b])]), F.col("bin"))
+    upto = F.sum("n").over(Window.partitionBy("bin").orderBy("p")) + start
+    # only values on which a wanted rank falls
+    wanted = F.exists(F.array(*[F.lit(r).cast("long") for r in ranks]), lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
+    rows = sorted((r["upto"], r["p"]) for r in counted.withColumn("upto", upto).where(wanted).collect())
+    tops = [u for u, _ in rows]
+
+    def at(rank: int) -> float:
+        return rows[bisect_right(tops, rank)][1]
+
+    return [at(math.floor(x)) + (x - math.floor(x)) * (at(math.ceil(x)) - at(math.floor(x))) for x in places]
+
+
+def thresholds(scored: DataFrame) -> list[float]:
+    """180 even ones from 0.10 to 0.995 and 100 quantiles from 0.50 to 0.999 of the probabilities, to nine places; the different ones in order."""
+    even = [0.10 + i * ((0.995 - 0.10) / 179) for i in range(180)]
+    return sorted({round(t, 9) for t in even + quantiles(scored, "probability", [0.5 + i * (0.999 - 0.5) / 99 for i in range(100)])})
 
 
 def threshold_sweep(counts: DataFrame, scored: DataFrame) -> DataFrame:
     """threshold and macro_f05 of every threshold. Each pair is counted at its own number of thresholds, then summed up from the top.
 
     A query's score changes only where one of its pairs falls in, so the sweep handles a row for each pair and threshold level, not
-    each pair at every threshold. The thresholds, at most 280, are collected first.
+    each pair at every threshold. The thresholds, at most 280, are found first.
     """
-    levels = F.array(*[F.lit(r.threshold) for r in thresholds(scored).orderBy("threshold").collect()])
+    levels = F.array(*[F.lit(t) for t in thresholds(scored)])
     # the index of the highest threshold that a pair passes
     passed = F.size(F.filter(levels, lambda t: t <= F.col("probability")))
     pairs = scored.select("query_id", "label", passed.alias("k")).where("k > 0")

@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 
 from weft.config import FEATURES
 from weft.functions import similarity as sim
+from weft.functions import text
 
 
-def pair_features(candidates: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
-    """query_id, target_source, target_id, country and all features, in order, of each candidate pair. Empty names give 0 where a ratio has no value."""
-    columns = ["name_norm", "core_name", "address_norm", "name_tokens", "address_tokens", "digit_tokens"]
-    q = queries.select(F.col("entity_id").alias("query_id"), "country", *[F.col(c).alias(f"q_{c}") for c in columns])
-    t = targets.select("target_source", F.col("entity_id").alias("target_id"), *[F.col(c).alias(f"t_{c}") for c in columns])
-    both = candidates.join(q, "query_id").join(t, ["target_source", "target_id"])
+def pair_features(candidates: DataFrame) -> DataFrame:
+    """query_id, target_source, target_id, country and all features, in order, of candidate pairs with their texts (blocking.TEXTS).
+
+    Words and forms are made again from the normalised texts, which costs less than a join. Empty names give 0 where a ratio has no value.
+    """
+    both = candidates
+    for side in "qt":
+        name, address = F.col(f"{side}_name"), F.col(f"{side}_address")
+        both = both.withColumns({
+            f"{side}_name_norm": name, f"{side}_address_norm": address, f"{side}_core_name": text.without_legal(name), f"{side}_name_tokens": text.tokens(name),
+            f"{side}_address_tokens": text.tokens(address), f"{side}_digit_tokens": text.digits(F.concat_ws(" ", name, address)),
+        })
+    both = both.withColumn("jaccard", sim.byte_jaccards(*(F.col(f"{side}_{c}") for c in ("name", "address") for side in "qt")))
 
     def sides(column: str) -> tuple[Column, Column]:
         return F.col(f"q_{column}"), F.col(f"t_{column}")
@@ -36,8 +44,8 @@ def pair_features(candidates: DataFrame, queries: DataFrame, targets: DataFrame)
         "name_levenshtein": sim.levenshtein_ratio(*name),
         "core_name_levenshtein": sim.levenshtein_ratio(*core),
         "address_levenshtein": F.when(no_address, 0.0).otherwise(sim.levenshtein_ratio(*address)),
-        "name_char_jaccard": sim.char_jaccard(*name),
-        "address_char_jaccard": sim.char_jaccard(*address),
+        "name_char_jaccard": F.col("jaccard")["first"],
+        "address_char_jaccard": F.col("jaccard")["second"],
         "name_token_jaccard": sim.set_jaccard(*sides("name_tokens")),
         "address_token_jaccard": sim.set_jaccard(*sides("address_tokens")),
         "name_token_overlap": sim.overlap(*sides("name_tokens")),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,14 +30,33 @@ def candidate_lists(queries: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def write_tsv(lists: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write with a header, tabs and no quotes, by id. single_file: one plain file at a local path, for tools that want one."""
-    ordered = lists.orderBy("source1_entity_id")
-    (ordered.coalesce(1) if single_file else ordered).write.mode("overwrite").csv(path, sep="\t", header=True, quote="", emptyValue="", nullValue="")
-    if single_file:
-        part = next(f for f in os.listdir(path) if f.startswith("part-"))
-        os.rename(os.path.join(path, part), f"{path}.part")
-        shutil.rmtree(path)
-        os.rename(f"{path}.part", path)
+    """Write with a header, tabs and no quotes, by id, in parallel. single_file: then join the parts to one plain file, for tools that want one.
+
+    The parts are sorted by range and written by all tasks; they are joined as bytes through the path's file system, local or not.
+    """
+    folder = f"{path}.parts" if single_file else path
+    lists.orderBy("source1_entity_id").write.mode("overwrite").csv(folder, sep="\t", header=not single_file, quote="", emptyValue="", nullValue="")
+    if not single_file:
+        return
+    spark = lists.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(conf)
+    parts = sorted(str(f.getPath()) for f in system.listStatus(source) if f.getPath().getName().startswith("part-"))
+    out = system.create(target, True)
+    try:
+        out.write(bytearray(("\t".join(lists.columns) + "\n").encode()))
+        for part in parts:
+            read = system.open(jvm.org.apache.hadoop.fs.Path(part))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(read, out, conf, False)
+            finally:
+                read.close()
+    finally:
+        out.close()
+    system.delete(source, True)
+    # the check sum of an older file of this name
+    system.delete(jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.crc"), False)
 
 
 def _finding(rule: str, severity: str, shown: DataFrame, weight: Column) -> DataFrame:

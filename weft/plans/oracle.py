@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weft.config import ADDRESS_STOP, KIND_WEIGHTS, LEGAL_WORDS, NAME_STOP, PAIR_WEIGHT, LinkConfig
+from weft.config import ADDRESS_STOP, KIND_WEIGHTS, LEGAL_WORDS, NAME_STOP, PAIR_WEIGHT, RECORD_COLUMNS, LinkConfig
 
 CONFIG = LinkConfig()
 
@@ -51,24 +51,57 @@ def _signatures(name: str, records: str, longest: int = CONFIG.longest_tokens) -
 {name} as (select * from {name}_exact union all select * from {name}_shape union all select * from {name}_pair)"""
 
 
-def _index(extra: str = "") -> str:
+def _triples(name: str, records: str, hot: str, on: str) -> str:
+    """CTE {name}: of every pair of the longest words that is hot each with every third word; words stay in their order."""
+    return f"""
+{name}_hot as (select a.target_source, a.entity_id, a.country, a.pos i, b.pos j from {records}_items a join {records}_items b using (target_source, entity_id)
+  where a.pos < b.pos and b.pos <= {CONFIG.longest_tokens} and exists (select 1 from {hot} h where {on} h.country = a.country and h.signature = a.kind || ':' || a.token || '|' || b.kind || ':' || b.token)),
+{name}_at as (select distinct h.target_source, h.entity_id, h.country, list_sort([i, j, c.pos]) places from {name}_hot h join {records}_items c
+  on c.target_source = h.target_source and c.entity_id = h.entity_id where c.pos <> i and c.pos <> j and c.pos <= {CONFIG.longest_tokens}),
+{name} as (select x.target_source, x.entity_id, x.country, 'pt' kind, string_agg(w.kind || ':' || w.token, '|' order by w.pos) signature
+  from {name}_at x join {records}_items w on w.target_source = x.target_source and w.entity_id = x.entity_id and list_contains(x.places, w.pos)
+  group by x.target_source, x.entity_id, x.country, x.places)"""
+
+
+def _index(bound: int = CONFIG.max_pair_frequency) -> str:
     cases = " ".join(f"when '{k}' then {v}" for k, v in KIND_WEIGHTS.items())
     return f"""
 df as (select target_source, country, kind, signature, count(*)::int document_frequency from ts where kind <> 'pe' group by all),
 n as (select target_source, country, count(*) country_count from t group by all),
+hot as (select target_source, country, signature from ts where kind = 'pe' group by all having count(*) > {bound}),
+{_triples('tt', 'ts', 'hot', 'h.target_source = a.target_source and')},
+{_triples('qt', 'qs', 'hot', '')},
 idx as (
   select ts.target_source, ts.entity_id, ts.country, ts.kind, ts.signature, df.document_frequency,
     cast(round(ln((country_count + 1.0::double) / (document_frequency + 0.5::double)) * (case kind {cases} end)::double * 1e6) as bigint) weight_micro
   from ts join df using (target_source, country, kind, signature) join n using (target_source, country)
   where (kind in ('ne', 'ae') and document_frequency <= {CONFIG.max_token_frequency}) or (kind in ('ns', 'as') and document_frequency <= {CONFIG.max_shape_frequency})
   union all
-  select target_source, entity_id, country, kind, signature, 1, {int(PAIR_WEIGHT * 1e6)} from ts where kind = 'pe' {extra})"""
+  select target_source, entity_id, country, kind, signature, 1, {int(PAIR_WEIGHT * 1e6)} from ts where kind = 'pe' and (target_source, country, signature) not in (select * from hot)
+  union all
+  select target_source, entity_id, country, kind, signature, 1, {int(PAIR_WEIGHT * 1e6)} from
+    (select *, count(*) over (partition by target_source, country, signature) c from tt) where c <= {bound}),
+qall as (select * from qs union all select * from qt)"""
+
+
+def _recall_stages() -> str:
+    asked = "asked as (select * from truth where source1_entity_id in (select entity_id from lq))"
+    parts = []
+    for blank in ("false", "true"):
+        # a query of any country looks under '' too
+        whole = CANDIDATES if blank == "false" else CANDIDATES.replace("join idx using (country, kind, signature)", "join idx on idx.country in (qall.country, '') and idx.kind = qall.kind and idx.signature = qall.signature")
+        # triples of pairs that are hot only among targets without a country
+        whole = whole if blank == "false" else whole.replace("where  h.country = a.country", "where h.country in (a.country, '')")
+        for stage, found in (("1 raw", "raw"), ("2 shortlist", "short"), ("3 final", "cand")):
+            parts.append(f"""select * from ({whole}, {asked} select {blank} blank_country, '{stage}' stage, count(*) truth_links, count(c.query_id) captured, round(count(c.query_id) / count(*), 6) recall
+              from asked left join (select distinct query_id, target_id from {found}) c on c.query_id = source1_entity_id and c.target_id = asked.target_id)""")
+    return " union all ".join(parts)
 
 
 RAW = """
-raw as (select qs.entity_id query_id, idx.target_source, idx.entity_id target_id, sum(weight_micro)::bigint score_micro,
-  count(*) filter (qs.kind in ('ne', 'ae', 'pe'))::int exact_hits, count(*) filter (qs.kind in ('ns', 'as'))::int shape_hits
-  from qs join idx using (country, kind, signature) group by all)"""
+raw as (select qall.entity_id query_id, idx.target_source, idx.entity_id target_id, sum(weight_micro)::bigint score_micro,
+  count(*) filter (qall.kind in ('ne', 'ae', 'pe', 'pt'))::int exact_hits, count(*) filter (qall.kind in ('ns', 'as'))::int shape_hits
+  from qall join idx using (country, kind, signature) group by all)"""
 SHORT = f"""
 short as (select * exclude (r) from (select *, row_number() over (partition by query_id, target_source order by score_micro desc, exact_hits desc, target_id) r from raw)
   where r <= {CONFIG.prefilter_candidates})"""
@@ -176,14 +209,14 @@ left join qw on qw.entity_id = q.entity_id left join tw on tw.entity_id = t.enti
 def oracle_sql() -> dict[str, str]:
     labels = "select trim(coalesce(country, '')) country, count(*) n_rows, count(distinct entity_id) n_distinct, count(*) > 0.05 * (select count(*) from train_source2) heavy from train_source2 group by 1"
     bucket = "(concat('0x', substr(md5(entity_id), 1, 8))::bigint % 100)"
-    signed_q, signed_t = f"with {SOURCES}, {_signatures('qs', 'q')}", f"with {SOURCES}, {_signatures('ts', 't')}, {_index()}"
-    bounded = "and (target_source, country, signature) in (select target_source, country, signature from ts where kind = 'pe' group by all having count(*) <= 10)"
+    signed_q, signed_t = f"with {SOURCES}, {_signatures('qs', 'q')}", f"with {SOURCES}, {_signatures('qs', 'q')}, {_signatures('ts', 't')}, {_index()}"
     return {
         "p3_found": f"select country from ({labels}) where heavy",
         "p3_labels": labels,
         "scan_normalize": f"""with {SOURCES}, everyone as (select * from q union all select * from t)
             select target_source, entity_id, country, name_norm, core_name, address_norm, array_to_string(name_tokens, ' ') name_tokens,
             array_to_string(address_tokens, ' ') address_tokens, array_to_string(digit_tokens, ' ') digit_tokens from everyone""",
+        "scan_tsv": "select " + ", ".join(f"nullif(regexp_replace({c}, '[\\t\\r\\n]', ' ', 'g'), '') {c}" for c in RECORD_COLUMNS) + " from train_source1",
         "normalize_documents": f"select doc_id, {_norm("coalesce(title, '')")} title_norm, {_norm("coalesce(text, '')")} text_norm from documents",
         "truth_explode": f"with {TRUTH} select * from truth",
         "truth_counts": f"with {SOURCES}, {TRUTH} select entity_id query_id, count(truth.target_id) truth_count from q left join truth on source1_entity_id = entity_id group by all",
@@ -192,17 +225,18 @@ def oracle_sql() -> dict[str, str]:
         "signature_shape": f"{signed_q} select entity_id, country, kind, signature from qs_shape",
         "signature_pair": f"{signed_q} select entity_id, country, kind, signature from qs_pair",
         "signature_df": f"{signed_t} select target_source, country, kind, signature, document_frequency from df",
-        "signature_weights": f"{signed_t} select * from idx where kind <> 'pe'",
+        "signature_weights": f"{signed_t} select * from idx where kind not in ('pe', 'pt')",
         "candidate_raw": f"{BOTH} select * from raw",
         "candidate_shortlist": f"{BOTH}, {SHORT} select * from short",
         "candidate_topk": f"{CANDIDATES} select query_id, target_source, target_id, round(block_score, 6) block_score, exact_hits, shape_hits, candidate_rank, round(name_jaro, 6) name_jaro, round(address_jaro, 6) address_jaro from cand",
-        "candidate_bounded_pairs": f"with {SOURCES}, {_signatures('qs', 'q')}, {_signatures('ts', 't')}, {_index(bounded)}, {RAW} select * from raw",
+        "candidate_bounded_pairs": f"with {SOURCES}, {_signatures('qs', 'q')}, {_signatures('ts', 't')}, {_index(10)}, {RAW} select * from raw",
         "pair_features": PAIR_FEATURES,
         "pair_labels": f'{SCORED} select query_id, target_source, target_id, "label" from pr',
         "blocking_stats": f"{CANDIDATES} select (select count(*) from q) queries, count(*) candidates, count(distinct query_id) queries_with_candidates, count(*) / (select count(*) from q) average_candidates from cand",
         "blocking_recall": f"""{CANDIDATES}, asked as (select * from truth where source1_entity_id in (select entity_id from lq))
             select count(*) truth_links, count(c.query_id) captured, count(c.query_id) / count(*) recall
             from asked left join cand c on c.query_id = source1_entity_id and c.target_id = asked.target_id""",
+        "blocking_recall_stages": _recall_stages(),
         "macro_f05": f"""{SCORED}, per as (select tc.query_id, truth_count, count(pr.query_id) filter (probability >= 0.8) p, coalesce(sum("label") filter (probability >= 0.8), 0) h
             from tc left join pr on pr.query_id = tc.query_id group by all) select count(*) entities, round(avg({ENTITY}), 6) macro_f05 from per""",
         "threshold_sweep": f"{SWEEP} select round(threshold, 6) threshold, round(macro_f05, 6) macro_f05 from sweep",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -9,9 +10,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.config import FEATURES, LinkConfig
+from weft.config import FEATURES, RECORD_COLUMNS, LinkConfig
 from weft.operators import blocking, evaluation, features, lists, model, parsing, records, signatures, skew, survival
-from weft.session import cut, table
+from weft.session import cut, shared_folder, table
+from weft.sources import tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 CONFIG = LinkConfig()
@@ -26,22 +28,14 @@ def sources(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return queries, targets[0].unionByName(targets[1])
 
 
-def signed(targets: DataFrame, make: Callable[[DataFrame], DataFrame] = signatures.all_signatures) -> DataFrame:
-    """Signatures with target_source."""
-    parts = [make(targets.where(F.col("target_source") == n)).withColumn("target_source", F.lit(n)) for n in (2, 3)]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def _index(targets: DataFrame) -> DataFrame:
-    return blocking.weighted_index(signed(targets), targets, CONFIG)
-
+    return blocking.weighted_index(signatures.all_signatures(targets), targets, CONFIG)
 
-def _raw(queries: DataFrame, targets: DataFrame) -> DataFrame:
-    return blocking.raw_candidates(signatures.all_signatures(queries), _index(targets))
 
-
-def _candidates(queries: DataFrame, targets: DataFrame) -> DataFrame:
-    return blocking.final_candidates(blocking.rescored(blocking.shortlist(_raw(queries, targets), CONFIG), queries, targets), CONFIG)
+def _written(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The same, normalised once."""
+    queries, targets = sources(spark, folder)
+    return cut(queries), cut(targets)
 
 
 def _truth(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,10 +48,10 @@ def _labelled_queries(queries: DataFrame, spark: SparkSession, folder: str) -> D
 
 def _scored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Labelled queries, their candidates with the score without a model and a label, and their truth counts."""
-    queries, targets = sources(spark, folder)
+    queries, targets = _written(spark, folder)
     queries = _labelled_queries(queries, spark, folder)
     pairs = _truth(spark, folder)
-    scored = features.labelled(model.baseline_score(_candidates(queries, targets)), pairs).withColumn("probability", F.round("probability", 9))
+    scored = features.labelled(model.baseline_score(blocking.retrieve(queries, targets, CONFIG)), pairs).withColumn("probability", F.round("probability", 9))
     return queries, cut(scored), evaluation.truth_counts(queries, pairs)
 
 
@@ -68,6 +62,14 @@ def scan_normalize(spark: SparkSession, folder: str) -> DataFrame:
     return both.withColumns(joined).select("target_source", "entity_id", "country", "name_norm", "core_name", "address_norm", *joined)
 
 
+def scan_tsv(spark: SparkSession, folder: str) -> DataFrame:
+    """The reference records delivered as a TSV file and scanned; empty fields come back as null. Tabs and line breaks can't be delivered."""
+    lines = table(spark, folder, "train_source1").select(*[F.regexp_replace(F.coalesce(c, F.lit("")), "[\t\r\n]", " ").alias(c) for c in RECORD_COLUMNS])
+    path = f"{shared_folder(spark)}/weft-tsv-{uuid.uuid4().hex}"
+    lines.write.csv(path, sep="\t", header=True, quote="", escape="", emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return tsv.read_records(spark, path)
+
+
 def normalize_documents(spark: SparkSession, folder: str) -> DataFrame:
     from weft.functions.text import normalise
 
@@ -99,39 +101,38 @@ def signature_pair(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def signature_df(spark: SparkSession, folder: str) -> DataFrame:
-    return blocking.document_frequencies(signed(sources(spark, folder)[1]))
+    return blocking.document_frequencies(signatures.all_signatures(sources(spark, folder)[1]))
 
 
 def signature_weights(spark: SparkSession, folder: str) -> DataFrame:
-    _, targets = sources(spark, folder)
-    return _index(targets).where("kind <> 'pe'")
+    _, targets = _written(spark, folder)
+    return _index(targets).where("kind not in ('pe', 'pt')")
 
 
 def candidate_raw(spark: SparkSession, folder: str) -> DataFrame:
-    queries, targets = sources(spark, folder)
-    return _raw(queries, targets)
+    queries, targets = _written(spark, folder)
+    return blocking.retrieve_raw(queries, targets, CONFIG)
 
 
 def candidate_shortlist(spark: SparkSession, folder: str) -> DataFrame:
-    queries, targets = sources(spark, folder)
-    return blocking.shortlist(_raw(queries, targets), CONFIG)
+    queries, targets = _written(spark, folder)
+    return blocking.shortlist(blocking.retrieve_raw(queries, targets, CONFIG), CONFIG)
 
 
 def candidate_topk(spark: SparkSession, folder: str) -> DataFrame:
-    queries, targets = sources(spark, folder)
-    made = _candidates(queries, targets)
+    queries, targets = _written(spark, folder)
+    made = blocking.retrieve(queries, targets, CONFIG)
     return made.withColumns({c: F.round(c, 6) for c in ("name_jaro", "address_jaro", "block_score")})
 
 
 def candidate_bounded_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    queries, targets = sources(spark, folder)
-    index = blocking.weighted_index(signed(targets), targets, replace(CONFIG, max_pair_frequency=10))
-    return blocking.raw_candidates(signatures.all_signatures(queries), index)
+    queries, targets = _written(spark, folder)
+    return blocking.retrieve_raw(queries, targets, replace(CONFIG, max_pair_frequency=10))
 
 
 def pair_features(spark: SparkSession, folder: str) -> DataFrame:
-    queries, targets = sources(spark, folder)
-    made = features.pair_features(_candidates(queries, targets), queries, targets)
+    queries, targets = _written(spark, folder)
+    made = features.pair_features(blocking.retrieve(queries, targets, CONFIG, texts=True))
     return made.withColumns({c: F.round(c, 6) for c in FEATURES if not dict(made.dtypes)[c].startswith("int")})
 
 
@@ -141,14 +142,25 @@ def pair_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def blocking_stats(spark: SparkSession, folder: str) -> DataFrame:
-    queries, targets = sources(spark, folder)
-    return blocking.blocking_stats(queries, _candidates(queries, targets))
+    queries, targets = _written(spark, folder)
+    return blocking.blocking_stats(queries, blocking.retrieve(queries, targets, CONFIG))
 
 
 def blocking_recall(spark: SparkSession, folder: str) -> DataFrame:
-    queries, targets = sources(spark, folder)
+    queries, targets = _written(spark, folder)
     queries = _labelled_queries(queries, spark, folder)
-    return evaluation.blocking_recall(queries, _candidates(queries, targets), _truth(spark, folder))
+    return evaluation.blocking_recall(queries, blocking.retrieve(queries, targets, CONFIG), _truth(spark, folder))
+
+
+def blocking_recall_stages(spark: SparkSession, folder: str) -> DataFrame:
+    """Recall after each stage of retrieval, by default and with targets without a country sought by all queries."""
+    queries, targets = _written(spark, folder)
+    queries, truth, rows = cut(_labelled_queries(queries, spark, folder)), cut(_truth(spark, folder)), []
+    for config in (CONFIG, replace(CONFIG, blank_country=True)):
+        short = cut(blocking.shortlist(raw := cut(blocking.retrieve_raw(queries, targets, config)), config))
+        for stage, found in (("1 raw", raw), ("2 shortlist", short), ("3 final", blocking.final_candidates(blocking.rescored(short, queries, targets), config))):
+            rows.append(evaluation.blocking_recall(queries, found, truth).select(F.lit(config.blank_country).alias("blank_country"), F.lit(stage).alias("stage"), "truth_links", "captured", F.round("recall", 6).alias("recall")))
+    return reduce(DataFrame.unionByName, rows)
 
 
 def macro_f05(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,14 +180,14 @@ def threshold_best(spark: SparkSession, folder: str) -> DataFrame:
 
 def match_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Of all reference records, by the score without a model; needs no labels."""
-    queries, targets = sources(spark, folder)
-    scored = model.baseline_score(_candidates(queries, targets)).withColumn("probability", F.round("probability", 9))
+    queries, targets = _written(spark, folder)
+    scored = model.baseline_score(blocking.retrieve(queries, targets, CONFIG)).withColumn("probability", F.round("probability", 9))
     return lists.match_lists(queries, scored, SURE)
 
 
 def candidate_lists(spark: SparkSession, folder: str) -> DataFrame:
-    queries, targets = sources(spark, folder)
-    return lists.candidate_lists(queries, _candidates(queries, targets))
+    queries, targets = _written(spark, folder)
+    return lists.candidate_lists(queries, blocking.retrieve(queries, targets, CONFIG))
 
 
 def validate_id_lists(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,8 +202,8 @@ def blocking_survival(spark: SparkSession, folder: str) -> DataFrame:
 
 def model_score(spark: SparkSession, folder: str) -> DataFrame:
     """Trained on all labelled queries with the settings of LinkConfig, applied to all; label is null where a query has none."""
-    queries, targets = sources(spark, folder)
-    rows = cut(features.pair_features(_candidates(queries, targets), queries, targets))
+    queries, targets = _written(spark, folder)
+    rows = cut(features.pair_features(blocking.retrieve(queries, targets, CONFIG, texts=True)))
     asked = _labelled_queries(queries, spark, folder).select(F.col("entity_id").alias("query_id"))
     train = cut(features.labelled(rows.join(asked, "query_id", "left_semi"), _truth(spark, folder)))
     others = rows.join(asked, "query_id", "left_anti").withColumn("label", F.lit(None).cast(train.schema["label"].dataType))
@@ -224,8 +236,8 @@ def p7_repairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REFERENCE_QUERIES = (
-    scan_normalize, normalize_documents, truth_explode, truth_counts, hash_split, signature_exact, signature_shape, signature_pair, signature_df, signature_weights, candidate_raw,
-    candidate_shortlist, candidate_topk, candidate_bounded_pairs, pair_features, pair_labels, blocking_stats, blocking_recall, macro_f05, threshold_sweep, threshold_best, match_lists,
+    scan_normalize, scan_tsv, normalize_documents, truth_explode, truth_counts, hash_split, signature_exact, signature_shape, signature_pair, signature_df, signature_weights, candidate_raw,
+    candidate_shortlist, candidate_topk, candidate_bounded_pairs, pair_features, pair_labels, blocking_stats, blocking_recall, blocking_recall_stages, macro_f05, threshold_sweep, threshold_best, match_lists,
     candidate_lists, validate_id_lists, blocking_survival, model_score,
 )
 

@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_NAME = re.compile(r"[a-z][a-z0-9_]*")
+
+
+def checked_name(name: str) -> str:
+    """The name of a table, if it is one: lower-case letters, digits and underscores, a letter first; else a ValueError."""
+    if not _NAME.fullmatch(name):
+        raise ValueError(f"not the name of a table: {name!r}")
+    return name
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    """Whether the session's catalog has a table or view of that name."""
+    return spark.catalog.tableExists(checked_name(name))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table of that name in a folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.parquet(f"{folder}/{checked_name(name)}.parquet")
 
 
 def partitions(spark: SparkSession) -> int:
