@@ -23,7 +23,7 @@ def test_empty_tables_and_other_columns(spark):
     made = records.normalise_records(none)
     assert signatures.all_signatures(made).count() == 0
     targets = made.withColumn("target_source", F.lit(2))
-    index = blocking.weighted_index(signatures.all_signatures(made).withColumn("target_source", F.lit(2)), targets)
+    index = blocking.weighted_index(targets)
     assert blocking.raw_candidates(signatures.all_signatures(made), index).count() == 0
     assert blocking.blocking_stats(made, spark.createDataFrame([], "query_id string")).first().average_candidates == 0
 
@@ -87,7 +87,7 @@ def test_pairs_of_many_targets_are_refined(spark):
     same = [(f"S2-{i}", "Alpha", f"Tamilia Nadurai {'x' * (i // 3 + 3)}", "US") for i in range(9)]
     made = records.normalise_records(frame(spark, *same)).withColumn("target_source", F.lit(2))
     config = LinkConfig(max_pair_frequency=4)
-    index = blocking.weighted_index(signatures.all_signatures(made), made, config).where("kind in ('pe', 'pt')")
+    index = blocking.weighted_index(made, config).where("kind in ('pe', 'pt')")
     held = {r.signature for r in index.collect()}
     assert "ae:nadurai|ae:tamilia" not in held and "ae:nadurai|ae:tamilia|ae:xxx" in held
     raw = blocking.retrieve_raw(made.drop("target_source"), made, config)

@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from weft.config import KIND_WEIGHTS, PAIR_WEIGHT, LinkConfig
 from weft.functions.similarity import jaro_winkler
-from weft.operators.signatures import all_signatures, triple_signatures
+from weft.operators.signatures import all_signatures, pair_signatures, single_signatures, triple_signatures
 from weft.session import cut
 
 INDEX_KEY = ["target_source", "country", "kind", "signature"]
 
 
 def document_frequencies(signatures: DataFrame) -> DataFrame:
-    """target_source, country, kind, signature and document_frequency of all but composite signatures."""
-    return signatures.where("kind <> 'pe'").groupBy(*INDEX_KEY).agg(F.count("*").cast("int").alias("document_frequency"))
+    """target_source, country, kind, signature and document_frequency of signatures."""
+    return signatures.groupBy(*INDEX_KEY).agg(F.count("*").cast("int").alias("document_frequency"))
 
 
 def _kind_weight() -> Column:
@@ -29,20 +29,21 @@ def _kind_weight() -> Column:
     return weight
 
 
-def hot_pairs(signatures: DataFrame, config: LinkConfig = LinkConfig()) -> DataFrame:
+def hot_pairs(targets: DataFrame, config: LinkConfig = LinkConfig()) -> DataFrame:
     """target_source, country, signature of the composite signatures that more targets have than config.max_pair_frequency."""
-    often = signatures.where("kind = 'pe'").groupBy("target_source", "country", "signature").agg(F.count("*").alias("n"))
+    often = pair_signatures(targets, config.longest_tokens).groupBy("target_source", "country", "signature").agg(F.count("*").alias("n"))
     return often.where(F.col("n") > config.max_pair_frequency).drop("n") if config.max_pair_frequency is not None else often.drop("n").limit(0)
 
 
-def weighted_index(signatures: DataFrame, targets: DataFrame, config: LinkConfig = LinkConfig(), hot: DataFrame | None = None) -> DataFrame:
+def weighted_index(targets: DataFrame, config: LinkConfig = LinkConfig(), hot: DataFrame | None = None) -> DataFrame:
     """Postings that are rare enough, with document_frequency (1 for composite ones) and weight_micro.
 
-    signatures: target_source, entity_id, country, kind, signature; targets: normalised records with target_source. hot: composite
-    signatures that are refined by third words, by default those of the config.
+    targets: normalised records with target_source. hot: composite signatures that are refined by third words, by default those of
+    the config.
     """
     per_country = targets.groupBy("target_source", "country").agg(F.count("*").alias("country_count"))
-    frequencies = document_frequencies(signatures)
+    single = single_signatures(targets)
+    frequencies = document_frequencies(single)
     rare = frequencies.where(
         (F.col("kind").isin("ne", "ae") & (F.col("document_frequency") <= config.max_token_frequency))
         | (F.col("kind").isin("ns", "as") & (F.col("document_frequency") <= config.max_shape_frequency))
@@ -50,12 +51,12 @@ def weighted_index(signatures: DataFrame, targets: DataFrame, config: LinkConfig
     weight = F.ln((F.col("country_count") + 1.0) / (F.col("document_frequency") + 0.5)) * _kind_weight()
     weights = rare.select(*INDEX_KEY, "document_frequency", F.round(weight * 1e6).cast("long").alias("weight_micro"))
     columns = ["target_source", "entity_id", "country", "kind", "signature", "document_frequency", "weight_micro"]
-    singles = signatures.where("kind <> 'pe'").join(weights, INDEX_KEY)
+    singles = single.join(weights, INDEX_KEY)
     fixed = {"document_frequency": F.lit(1), "weight_micro": F.lit(int(PAIR_WEIGHT * 1e6)).cast("long")}
-    pairs = signatures.where("kind = 'pe'")
+    pairs = pair_signatures(targets, config.longest_tokens)
     if config.max_pair_frequency is None:
         return singles.select(*columns).unionByName(pairs.withColumns(fixed).select(*columns))
-    hot = hot_pairs(signatures, config) if hot is None else hot
+    hot = hot_pairs(targets, config) if hot is None else hot
     pairs = pairs.join(hot, ["target_source", "country", "signature"], "left_anti")
     triples = triple_signatures(targets, hot, config.longest_tokens)
     common = triples.groupBy("target_source", "country", "signature").agg(F.count("*").alias("n")).where(F.col("n") > config.max_pair_frequency).drop("n")
@@ -89,9 +90,8 @@ def raw_candidates(query_signatures: DataFrame, index: DataFrame) -> DataFrame:
 
 def retrieve_raw(queries: DataFrame, targets: DataFrame, config: LinkConfig = LinkConfig()) -> DataFrame:
     """The raw candidates of normalised queries among normalised targets with target_source."""
-    signatures = all_signatures(targets, config.longest_tokens)
-    hot = cut(hot_pairs(signatures, config))
-    return raw_candidates(query_signatures(queries, hot, config), weighted_index(signatures, targets, config, hot))
+    hot = cut(hot_pairs(targets, config))
+    return raw_candidates(query_signatures(queries, hot, config), weighted_index(targets, config, hot))
 
 
 def retrieve(queries: DataFrame, targets: DataFrame, config: LinkConfig = LinkConfig(), texts: bool = False) -> DataFrame:

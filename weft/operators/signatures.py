@@ -63,6 +63,11 @@ def shape_signatures(records: DataFrame) -> DataFrame:
     return _exploded(_with_words(records), _shapes(), _keys(records))
 
 
+def single_signatures(records: DataFrame) -> DataFrame:
+    """Exact words and typing shapes, by one explode."""
+    return _exploded(_with_words(records), F.concat(_exact(), _shapes()), _keys(records))
+
+
 def longest_words(records: DataFrame, longest: int = LinkConfig.longest_tokens) -> DataFrame:
     """entity_id, country and items: the longest words, kind:word, in order."""
     return _with_words(records).select(*_keys(records), _items(longest).alias("items"))

@@ -29,13 +29,15 @@ def sources(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _index(targets: DataFrame) -> DataFrame:
-    return blocking.weighted_index(signatures.all_signatures(targets), targets, CONFIG)
+    return blocking.weighted_index(targets, CONFIG)
 
 
 def _written(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The same, normalised once."""
-    queries, targets = sources(spark, folder)
-    return cut(queries), cut(targets)
+    """The same, normalised and written once; small tables in as many parts as there are cores."""
+    cores = spark.sparkContext.defaultParallelism
+    written = [cut(records_) for records_ in sources(spark, folder)]
+    queries, targets = (w.repartition(cores) if 2 * w.rdd.getNumPartitions() <= cores else w for w in written)
+    return queries, targets
 
 
 def _truth(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,7 +103,7 @@ def signature_pair(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def signature_df(spark: SparkSession, folder: str) -> DataFrame:
-    return blocking.document_frequencies(signatures.all_signatures(sources(spark, folder)[1]))
+    return blocking.document_frequencies(signatures.single_signatures(sources(spark, folder)[1]))
 
 
 def signature_weights(spark: SparkSession, folder: str) -> DataFrame:
