@@ -52,3 +52,18 @@ def test_text_functions(spark):
     assert one.marks == "क क カ и е 한국"
     assert (one.norm, one.null, one.legal) == ("cafe co ltd", "", "acme pvt")
     assert one.digits == ["12", "034"] and one.tokens == ["bb", "ccc"]
+
+
+def test_tables_of_a_scope_are_deleted_at_its_end(spark):
+    from pathlib import Path
+
+    from weft.session import cut, scope
+
+    def folder(df):
+        return Path(df.inputFiles()[0].removeprefix("file://")).parent
+
+    with scope(spark):
+        gone, kept = cut(spark.range(3).groupBy("id").count()), cut(spark.range(4), keep=True)
+        folders = folder(gone), folder(kept)
+        assert all(f.exists() for f in folders)
+    assert [f.exists() for f in folders] == [False, True] and kept.count() == 4

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,14 +49,55 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
+#: A setting of the session that has the files of a query's shuffles removed as soon as the query has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Queries that run within leave no shuffle files behind; the session's own setting is put back at the end."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that `cut` writes within are deleted at the end, for steps whose results are written themselves by `cut(df, keep=True)`."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.pop()
+        for path in made:
+            _delete(spark, path)
+
+
+def cut(df: DataFrame, keep: bool = False) -> DataFrame:
     """The same rows, written as a compressed table to the shared folder, so that lost executors cost no recomputation.
 
-    The table is deleted when the session's process ends.
+    The table is deleted at the end of the `scope` it is written in, or, without one or with keep, when the session's process ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/weft-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    with tidy(spark):
+        df.write.parquet(path)
+    if _scopes and not keep:
+        _scopes[-1].append(path)
+    else:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return spark.read.schema(df.schema).parquet(path)
