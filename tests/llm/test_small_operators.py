@@ -114,6 +114,17 @@ def test_histogram_packing_is_tight():
         assert sum(s.size * s.each * s.times for s in slots) == volume
         capacity = sum({s.first: s.capacity * s.times for s in slots}.values())
         assert volume <= capacity <= 1.01 * volume + 1024
+        room = defaultdict(int)
+        for slot in slots:
+            for k in range(slot.times):
+                room[slot.first + k] += slot.size * slot.each
+                assert room[slot.first + k] <= slot.capacity
+        by_size = defaultdict(list)
+        for slot in slots:
+            by_size[slot.size] += [(slot.base, slot.base + slot.each * slot.times)]
+        assert all(sorted(v)[0][0] == 0 and all(a[1] == b[0] for a, b in zip(sorted(v), sorted(v)[1:], strict=False)) for v in by_size.values())
+    one_cost = packing.pack_histogram({700: 3, 200: 1}, (256, 512, 1024), (1, 1, 1))
+    assert one_cost[1] == 3 and {s.capacity for s in one_cost[0]} == {1024}
     assert packing.pack_histogram({}, (1024,)) == ([], 0)
     assert packing.pack_histogram({700: 3}, (256, 1024))[1] == 3
 

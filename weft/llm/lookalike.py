@@ -180,11 +180,11 @@ class Rewriter:
         """The one form of a value; null stays null."""
         if text is None or text.isascii():
             return text
-        for _ in range(4):
-            new = self._unify(self._replace(text))
-            if new == text:
-                break
-            text = new
+        met = set()
+        while text not in met:
+            met.add(text)
+            text = self._unify(self._replace(text))
+        # a form that rewrites to itself; of forms that lead to each other, which no classes give, the first one met again
         return text
 
 
