@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -256,7 +256,7 @@ class Model:
         """Whether a stretch, taken by itself, is likelier garbled than clean."""
         return any(gain > 0 for gain in self.gains(seen).values())
 
-    def measure(self, seen: Seen, undone: list[tuple[int, str, int, int]]) -> dict[State | str, float]:
+    def measure(self, seen: Seen, undone: Iterable[tuple[int, str, int, int]]) -> dict[State | str, float]:
         """The gains of a stretch, given its inverses."""
         sort, before, run, after = seen
         clean = self.likely(sort, before, run, after)
@@ -281,6 +281,10 @@ class Model:
 
     def path(self, gains: list[dict[State | str, float]]) -> list[State | str | None]:
         """The most likely state of each stretch of a text, None for the clean one, from the gains of all in order: Viterbi's path."""
+        # a state that no stretch of the text is likelier in than in the clean one can't be on the best path
+        able = {state for more in gains for state, gain in more.items() if gain > 0}
+        if not able:
+            return [None] * len(gains)
         # relative to the clean state, whose likelihood is 0 at every step
         best: dict[State | str | None, float] = {None: 0.0}
         back: list[dict[State | str | None, State | str | None]] = []
@@ -289,6 +293,8 @@ class Model:
             new: dict[State | str | None, float] = {None: top}
             source: dict[State | str | None, State | str | None] = {None: leader}
             for state, gain in more.items():
+                if state not in able:
+                    continue
                 stay, come = best.get(state, -math.inf), best[None] + self.enter + (0.0 if state == LOST or state[0][1] == "utf-8" else self.unsure)
                 new[state], source[state] = (stay + gain, state) if stay >= come else (come + gain, None)
             best = new
@@ -349,7 +355,20 @@ def collect_stretches(documents: DataFrame, text: str = "text") -> tuple[DataFra
     kinds = "sort string, before string, run string, after string, ids array<bigint>, n bigint"
     rows = cut(spread(documents.select(text)).mapInPandas(run, kinds).groupBy("sort", "before", "run", "after", "ids").agg(F.sum("n").alias("n")))
     totals = {r.sort: r.n for r in rows.where("run = ''").collect()}
-    return rows.where("run <> ''").select(F.col("ids")[0].alias("id"), "sort", "before", "run", "after", "n"), rows.where("run is null").select("ids", "n"), totals
+    seen = rows.where("run <> ''").select(F.col("ids")[0].alias("id"), "sort", "before", "run", "after", "n")
+    return seen, spread(cut(rows.where("run is null").select("ids", "n"))), totals
+
+
+def _undone(stretches_: DataFrame) -> DataFrame:
+    """The stretches with their inverses, which are the same in every round."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [list(zip(*inverses(t), strict=True)) or [()] * 4 for t in frame["run"]]
+            yield frame.assign(**{name: [list(f[i]) for f in found] for i, name in enumerate(("states", "texts", "misfits", "short"))})
+
+    kinds = "id long, sort string, before string, run string, after string, n long, states array<int>, texts array<string>, misfits array<int>, short array<int>"
+    return cut(spread(stretches_).mapInPandas(run, kinds))
 
 
 def _identify(seen: Seen) -> int:
@@ -368,8 +387,8 @@ def _measured(stretches_: DataFrame, model: Model) -> dict[Seen, dict[State | st
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for seen in frame[["sort", "before", "run", "after"]].itertuples(index=False, name=None):
-                gains = model.measure(seen, inverses(seen[2]))
+            for *seen, states_, texts, misfits, short in frame[["sort", "before", "run", "after", "states", "texts", "misfits", "short"]].itertuples(index=False, name=None):
+                gains = model.measure(tuple(seen), zip(states_.tolist(), texts, misfits.tolist(), short.tolist(), strict=True))
                 rows.append((*seen, [-1 if s == LOST else NUMBERS[s] for s in gains], list(gains.values())))
             if rows:
                 yield pd.DataFrame(rows, columns=["sort", "before", "run", "after", "states", "gains"])
@@ -384,7 +403,7 @@ def _labelled(sequences: DataFrame, stretches_: DataFrame, model: Model) -> Data
         # too many for every task: the stretches of each sequence come to it
         listed = sequences.select(F.monotonically_increasing_id().alias("s"), "n", F.posexplode("ids").alias("pos", "id"))
         seen = F.struct("pos", "id", "sort", "before", "run", "after")
-        texts = listed.join(stretches_.drop("n"), "id").groupBy("s").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(seen)).alias("l"))
+        texts = listed.join(stretches_.select("id", "sort", "before", "run", "after"), "id").groupBy("s").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(seen)).alias("l"))
     else:
         texts = sequences.withColumn("l", F.lit(None).cast("array<struct<pos:int,id:bigint,sort:string,before:string,run:string,after:string>>"))
     gains = {_identify(seen): more for seen, more in (model.known or {}).items()}
@@ -435,6 +454,7 @@ def train(documents: DataFrame, text: str = "text", rounds: int = 3, first: tupl
     Unicode, the gains of different stretches at most FEW. An empty table gives a model that finds everything clean.
     """
     seen, sequences, totals = collect_stretches(documents, text)
+    seen = _undone(seen)
     counts = _count(seen)
     for _ in range(rounds):
         model = Model(counts, totals, *first)
