@@ -89,14 +89,15 @@ def scope(spark: SparkSession) -> Iterator[list[str]]:
 def cut(df: DataFrame, keep: bool = False) -> DataFrame:
     """The same rows, written as a compressed table to the shared folder, so that lost executors cost no recomputation.
 
-    The table is deleted at the end of the `scope` it is written in, or, without one or with keep, when the session's process ends.
+    The table is deleted at the end of the `scope` it is written in, with keep at the end of the one around that; without one, when the
+    session's process ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/weft-{uuid.uuid4().hex}"
     with tidy(spark):
         df.write.parquet(path)
-    if _scopes and not keep:
-        _scopes[-1].append(path)
+    if len(_scopes) > keep:
+        _scopes[-1 - keep].append(path)
     else:
         jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
         jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
