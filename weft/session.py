@@ -95,7 +95,7 @@ def cut(df: DataFrame, keep: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/weft-{uuid.uuid4().hex}"
     with tidy(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     if len(_scopes) > keep:
         _scopes[-1 - keep].append(path)
     else:
