@@ -31,13 +31,13 @@ def deliver(spark, small, folder, part):
 def test_files_to_lists(spark, small, tmp_path):
     deliver(spark, small, tmp_path / "dataset/train", "train")
     deliver(spark, small, tmp_path / "dataset/test", "test")
-    pipeline.main(["--resource-root", str(tmp_path), "--work-dir", str(tmp_path / "work"), "--output-dir", str(tmp_path / "out"), "--trees", "2", "--train-percent", "60", "--validation-percent", "40", "--team", "Team / 1"])
+    pipeline.main(["--resource-root", str(tmp_path), "--work-dir", str(tmp_path / "work"), "--output-dir", str(tmp_path / "out"), "--trees", "2", "--train-percent", "60", "--validation-percent", "40", "--team", "Team / 1", "--blank-country"])
     metrics = json.loads((tmp_path / "out/run_metrics.json").read_text())
     assert metrics["prediction"]["candidates"] > 0 and 0 <= metrics["macro_f05"] <= 1
     lines = (tmp_path / "out/matching_results.tsv").read_text().splitlines()
     assert lines[0] == "source1_entity_id\tmatched_entity_ids"
     assert len(lines) - 1 == metrics["prediction"]["queries"] == len({line.split("\t")[0] for line in lines[1:]})
-    assert 0 <= metrics["prediction"]["singleton_rate"] <= 1
+    assert 0 <= metrics["prediction"]["singleton_rate"] <= 1 and metrics["config"]["blank_country"]
     assert "queries without a link" in (tmp_path / "out/REVIEW.md").read_text() and "matching_results.tsv" in (tmp_path / "out/METHOD.md").read_text()
     assert sorted(zipfile.ZipFile(tmp_path / "out/Team_1.zip").namelist()) == ["METHOD.md", "REVIEW.md", "candidate_pairs.tsv", "matching_results.tsv"]
     (tmp_path / "out/matching_results.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS1-2\n")

@@ -155,9 +155,10 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--trees", type=int, default=LinkConfig.trees)
     parser.add_argument("--train-percent", type=int, default=LinkConfig.train_percent)
     parser.add_argument("--validation-percent", type=int, default=LinkConfig.validation_percent)
+    parser.add_argument("--blank-country", action="store_true", help="let every query seek targets without a country")
     parser.add_argument("--max-candidates-per-source", type=int, default=LinkConfig.max_candidates_per_source)
     given = parser.parse_args(args)
-    config = replace(LinkConfig(), trees=given.trees, train_percent=given.train_percent, validation_percent=given.validation_percent, max_candidates_per_source=given.max_candidates_per_source)
+    config = replace(LinkConfig(), trees=given.trees, train_percent=given.train_percent, validation_percent=given.validation_percent, max_candidates_per_source=given.max_candidates_per_source, blank_country=given.blank_country)
     spark = SparkSession.builder.getOrCreate()
     model_path, metrics_path = str(given.work_dir / "matcher"), str(given.output_dir / "run_metrics.json")
     if given.stage in ("all", "train"):
