@@ -14,7 +14,7 @@ from weft.config import FEATURES, LinkConfig
 
 def fit_model(features: DataFrame, config: LinkConfig = LinkConfig()) -> PipelineModel:
     """Fit to rows with all features and label. Its objective is the logistic one; it has no L1 or L2 term."""
-    # fixed values: shares of rows and columns of each tree and a column's share of each tree, rows of a leaf, bins
+    # fixed values: shares of the rows and of the columns that a tree sees, least rows of a leaf, bins
     trees = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=config.trees, maxDepth=config.depth, stepSize=config.learning_rate, subsamplingRate=0.82,
         featureSubsetStrategy="0.88", minInstancesPerNode=4, maxBins=256, seed=config.seed, checkpointInterval=10,
